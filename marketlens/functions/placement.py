@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # A date column can take at most this many values (0001-01-01 to 9999-12-31).
 CALENDAR_ROWS = 3_652_059
 
-# Member lists up to this length are sent to every executor.
+# Member lists up to this length become a filter that can reach the file scan ...
+IN_LIST_ROWS = 1_000
+# ... and up to this length are sent to every executor; longer ones are shuffled.
 MEMBER_LIST_ROWS = 100_000
 
 
@@ -26,9 +30,10 @@ def broadcast_calendar(per_date: DataFrame) -> DataFrame:
 
 def keep_members(df: DataFrame, tickers: Sequence[str]) -> DataFrame:
     """Rows whose ticker is in the list; the list's length is known and checked."""
-    spark = df.sparkSession
     distinct = sorted(set(tickers))
-    members = spark.createDataFrame([(t,) for t in distinct], "ticker string")
+    if len(distinct) <= IN_LIST_ROWS:
+        return df.filter(F.col("ticker").isin(distinct))
+    members = df.sparkSession.createDataFrame([(t,) for t in distinct], "ticker string")
     if len(distinct) <= MEMBER_LIST_ROWS:
         members = F.broadcast(members)
     return df.join(members, "ticker", "left_semi")
@@ -42,21 +47,25 @@ def as_date(value: dt.date | str | Column) -> Column:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise into the shared checkpoint folder so that a lost executor costs a re-read only."""
+    """Write a frame to the shared checkpoint folder and go on from there.
+
+    It is computed once, whoever reads it afterwards, and a lost executor costs a
+    re-read only. Unlike a checkpoint of rows, the written columns can be pruned.
+    """
     spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = f"{_checkpoint_dir(spark)}/marketlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names; only a local session may go without and gets its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        import tempfile
-
-        shared = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
-    context.setCheckpointDir(shared)
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    own = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
+    context.setCheckpointDir(own)
+    return own

@@ -73,11 +73,9 @@ def parametric_var(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFra
     )
 
 
-def _standard_normal(params: RiskParams) -> Column:
-    """Draw number ``draw`` of a ticker, from a hash: the same wherever it is computed."""
-    digest = F.md5(
-        F.concat_ws("|", "ticker", F.col("draw").cast("string"), F.lit(str(params.seed)))
-    )
+def _standard_normal(draw: Column, params: RiskParams) -> Column:
+    """A ticker's draw of the given number, from a hash: the same wherever it is computed."""
+    digest = F.md5(F.concat_ws("|", F.col("ticker"), draw.cast("string"), F.lit(str(params.seed))))
 
     def uniform(first: int) -> Column:
         cell = F.conv(F.substring(digest, first, _HEX_DIGITS), 16, 10).cast("double")
@@ -87,17 +85,27 @@ def _standard_normal(params: RiskParams) -> Column:
     return radius * F.cos(2.0 * math.pi * uniform(1 + _HEX_DIGITS))
 
 
-def _simulate(moments: DataFrame, carried: list[str], params: RiskParams) -> DataFrame:
-    """Add the tail percentile of ``draws`` simulated returns per ticker.
+def _simulate(moments: DataFrame, params: RiskParams) -> DataFrame:
+    """Add to each ticker's row the tail percentile of ``draws`` simulated returns.
 
-    Draws are spelled out in the task that holds the ticker, and the percentile
-    groups by that same key, so they are never shuffled.
+    The draws live in an array inside the row and are never shuffled. The rows
+    are spread out by number before that, because they are far too small for
+    their size to tell how much work each of them is.
     """
-    draws = moments.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(params.draws - 1))))
-    simulated = F.col("mu") + F.col("sigma") * _standard_normal(params)
-    return draws.groupBy("ticker").agg(
-        *[F.first(c).alias(c) for c in carried],
-        F.percentile(simulated, 1 - params.confidence).alias("monte_carlo"),
+    tasks = int(moments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    position = (1 - params.confidence) * (params.draws - 1)
+    below = math.floor(position)
+    lower = F.element_at("simulated", below + 1)
+    upper = F.element_at("simulated", min(below + 2, params.draws))
+    simulated = F.transform(
+        F.sequence(F.lit(0), F.lit(params.draws - 1)),
+        lambda draw: F.col("mu") + F.col("sigma") * _standard_normal(draw, params),
+    )
+    return (
+        moments.repartition(tasks, "ticker")
+        .withColumn("simulated", F.array_sort(simulated))
+        .withColumn("monte_carlo", lower + (position - below) * (upper - lower))
+        .drop("simulated")
     )
 
 
@@ -110,7 +118,7 @@ def _moments() -> list[Column]:
 
 def monte_carlo_var(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     """The tail percentile of returns drawn from a normal law, from seeded draws."""
-    simulated = _simulate(returns.groupBy("ticker").agg(*_moments()), [], params)
+    simulated = _simulate(returns.groupBy("ticker").agg(*_moments()), params)
     return simulated.select(
         "ticker", _signed(F.col("monte_carlo"), params).alias("monte_carlo_var")
     )
@@ -129,9 +137,8 @@ def var_summary(
         _signed(_historical(params), params).alias("historical_var"),
         _signed(_parametric(params), params).alias("parametric_var"),
     )
-    carried = ["last_date", "historical_var", "parametric_var"]
-    label = f"{params.confidence * 100:g}% Daily VaR: %.2f%% (Historical)".replace("% Daily", "%% Daily")
-    return _simulate(per_ticker, carried, params).select(
+    label = f"{params.confidence * 100:g}%% Daily VaR: %.2f%% (Historical)"
+    return _simulate(per_ticker, params).select(
         "ticker",
         (F.current_timestamp() if timestamp is None else timestamp.cast("timestamp")).alias(
             "timestamp"

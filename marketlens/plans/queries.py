@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marketlens.functions import safe_div, safe_exp, safe_ln, safe_pow, safe_sqrt
-from marketlens.functions.placement import keep_members
+from marketlens.functions.placement import cut_lineage, keep_members
 from marketlens.operators import (
     features,
     forest,
@@ -96,28 +96,45 @@ def _newest_date(bars: DataFrame) -> Column:
     return bars.agg(F.max("date")).scalar()
 
 
-def _stand_in(feats: DataFrame, share: float = STAND_IN_DRIFT) -> DataFrame:
-    return feats.withColumn("predicted_drift", share * F.col("feat_rolling_beta_130d"))
-
-
-def _prediction_run(feats: DataFrame, run: int) -> DataFrame:
-    """Predictions of the given run of the day, with ids that grow with date and run."""
-    at = F.col("date").cast("timestamp") + F.make_dt_interval(hours=F.lit(run))
-    code = F.array_position(F.array(*[F.lit(s) for s in SYMBOLS]), F.col("ticker"))
-    rows = forest.as_predictions(_stand_in(feats, STAND_IN_DRIFT * run), f"run-{run}", at)
-    return rows.withColumn(
-        "prediction_id", F.unix_date("forecast_date").cast("long") * 1000 + code * 10 + run
-    )
+def _stand_in(feats: DataFrame) -> DataFrame:
+    return feats.withColumn("predicted_drift", STAND_IN_DRIFT * F.col("feat_rolling_beta_130d"))
 
 
 def _open_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs of forecasts for the rows whose target is not known yet."""
+    """Two runs of forecasts, an hour apart, for the rows whose target is not known yet.
+
+    Ids grow with the date and with the run. Predictions are a stored table, so
+    they are materialised here too.
+    """
     _, open_rows = forest.split_features(_features(spark, sf_dir))
-    return _prediction_run(open_rows, 1).unionByName(_prediction_run(open_rows, 2))
+    run = F.col("run")
+    forecast = (
+        open_rows.withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
+        .withColumn("predicted_drift", STAND_IN_DRIFT * run * F.col("feat_rolling_beta_130d"))
+        .withColumn("made_at", F.col("date").cast("timestamp") + F.make_dt_interval(hours=run))
+    )
+    code = F.array_position(F.array(*[F.lit(s) for s in SYMBOLS]), F.col("ticker"))
+    base, drift = F.col("feat_rolling_beta_130d"), F.col("predicted_drift")
+    predictions = forecast.select(
+        (F.unix_date("date").cast("long") * 1000 + code * 10 + run).alias("prediction_id"),
+        F.col("made_at").alias("prediction_timestamp"),
+        "ticker",
+        F.col("date").alias("forecast_date"),
+        base.alias("base_beta_130d"),
+        drift.alias("predicted_drift"),
+        (base + drift).alias("predicted_beta_final"),
+        F.concat(F.lit("run-"), run.cast("string")).alias("model_version"),
+        F.lit(None).cast("double").alias("actual_beta_realized"),
+        F.lit(None).cast("double").alias("prediction_error"),
+    )
+    return cut_lineage(predictions)
 
 
 def _var_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs on each ticker's last day, over the full and over half the lookback."""
+    """Two runs on each ticker's last day, over the full and over half the lookback.
+
+    A stored table as well.
+    """
     clean = _clean(spark, sf_dir)
 
     def run(lookback: int, hour: int) -> DataFrame:
@@ -125,7 +142,7 @@ def _var_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         at = F.col("last_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
         return var.var_summary(var.recent_returns(clean, params), at, params)
 
-    return run(252, 9).unionByName(run(126, 17))
+    return cut_lineage(run(252, 9).unionByName(run(126, 17)))
 
 
 def _as_text(ts: str) -> Column:
