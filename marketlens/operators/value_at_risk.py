@@ -102,7 +102,7 @@ def _simulate(moments: DataFrame, params: RiskParams) -> DataFrame:
         lambda draw: F.col("mu") + F.col("sigma") * _standard_normal(draw, params),
     )
     return (
-        moments.repartition(tasks, "ticker")
+        moments.repartition(tasks)
         .withColumn("simulated", F.array_sort(simulated))
         .withColumn("monte_carlo", lower + (position - below) * (upper - lower))
         .drop("simulated")

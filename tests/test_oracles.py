@@ -1,5 +1,7 @@
 """Every registered query with an oracle gives exactly the oracle's rows."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -15,7 +17,8 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, con, sf_dir, name):
-    cols, got = spark_rows(entry_point.queries()[name](spark, sf_dir))
+    df = entry_point.queries()[name](spark, sf_dir)
+    cols, got = spark_rows(df)
     want_cols, want = duck_rows(con, ORACLES[name])
     assert cols == want_cols
     assert len(got) == len(want)
@@ -23,6 +26,11 @@ def test_query_equals_oracle(spark, con, sf_dir, name):
     wrong = [(g, w) for g, w in zip(got, want) if g != w]
     assert not wrong, f"{len(wrong)} of {len(got)} rows differ, first: {wrong[0]}"
 
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    python = set(re.findall(r"\w*(?:EvalPython|InPandas|InArrow)\w*", plan))
+    assert python == ({"FlatMapGroupsInPandas"} if name == "correlation_matrix" else set())
+
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry_point.queries())

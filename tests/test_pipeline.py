@@ -1,0 +1,187 @@
+"""The daily run end to end on real folders, twice, and the file stream."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens import schemas
+from marketlens.operators import features, forest, prices, series
+from marketlens.params import RiskParams
+from marketlens.plans import pipeline
+from marketlens.plans.views import register_views
+from marketlens.sources import tables
+from marketlens.sources.lineitem_bars import bars_from_lineitem
+from marketlens.streaming.ingest import stream_landed
+
+SMALL = forest.ForestParams(trees=10, depth=4, bins=32)
+LANDED = schemas.LANDED_BARS.fieldNames()
+FIRST, SECOND = dt.datetime(2001, 11, 1, 18), dt.datetime(2001, 11, 4, 18)
+
+
+def _read(spark, root, name):
+    return tables.read(spark, root, name)
+
+
+@pytest.fixture(scope="module")
+def landed(spark, sf_dir):
+    """Clean bars of four years, as a daily download delivers them."""
+    bars = prices.dedup_bars(bars_from_lineitem(spark, sf_dir)).select(*LANDED)
+    return bars.filter("date >= '1998-01-01'").cache()
+
+
+@pytest.fixture(scope="module")
+def two_runs(spark, landed, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("lake"))
+    params = RiskParams(draws=500)
+    first = landed.filter(F.col("date") <= F.lit(FIRST.date()))
+    pipeline.run(spark, root, first, FIRST.date(), params=params, forest_params=SMALL, now=FIRST)
+    before = {n: _read(spark, root, n).toPandas() for n in schemas.TABLES}
+    reports = pipeline.run(
+        spark, root, landed, SECOND.date(), params=params, forest_params=SMALL, now=SECOND
+    )
+    return root, before, reports
+
+
+def test_bronze_holds_the_retained_bars_once(spark, landed, two_runs):
+    root, before, _ = two_runs
+    bronze = _read(spark, root, "bronze_price_history")
+    kept = prices.rows_to_retain(landed, SECOND.date())
+    assert bronze.count() == bronze.select("date", "ticker").distinct().count() == kept.count()
+    assert bronze.select(*LANDED).exceptAll(kept).count() == 0
+    # re-fetched bars got new, higher ids
+    assert bronze.agg(F.min("id")).first()[0] > before["bronze_price_history"]["id"].max()
+
+
+def test_archive_receives_refetched_bars_again(spark, landed, two_runs):
+    root, before, _ = two_runs
+    archive = _read(spark, root, "bronze_historical_price_archive")
+    gone = prices.rows_to_archive(landed, SECOND.date())
+    assert archive.count() == len(before["bronze_historical_price_archive"]) + gone.count()
+    assert prices.dedupe_archive(archive).count() == gone.count()
+
+
+def test_features_survive_archiving(spark, two_runs):
+    root, before, _ = two_runs
+    feats = _read(spark, root, "silver_risk_features")
+    keys = feats.select("ticker", "date")
+    assert keys.count() == keys.distinct().count() >= len(before["silver_risk_features"])
+    oldest = keys.agg(F.min("date")).first()[0]
+    assert oldest < SECOND.date() - dt.timedelta(days=1095)
+
+
+def test_upserting_twice_changes_nothing(spark, two_runs):
+    root, _, _ = two_runs
+    pipeline.update_features(spark, root)
+    once = _read(spark, root, "silver_risk_features").toPandas()
+    pipeline.update_features(spark, root)
+    twice = _read(spark, root, "silver_risk_features").toPandas()
+    key = ["ticker", "date"]
+    assert once.sort_values(key).reset_index(drop=True).equals(
+        twice.sort_values(key).reset_index(drop=True)
+    )
+
+
+def test_metrics_are_appended_once(spark, two_runs):
+    root, before, _ = two_runs
+    metrics = _read(spark, root, "gold_risk_metrics")
+    assert metrics.count() == metrics.select("ticker", "date").distinct().count()
+    assert metrics.count() > len(before["gold_risk_metrics"]) > 0
+
+
+def test_predictions_keep_their_ids(spark, two_runs):
+    root, before, _ = two_runs
+    rows = _read(spark, root, "gold_risk_inference")
+    ids = sorted(r.prediction_id for r in rows.select("prediction_id").collect())
+    assert ids == list(range(1, len(ids) + 1))
+    first = set(before["gold_risk_inference"]["prediction_id"])
+    assert set(ids) > first
+    filled = rows.filter("actual_beta_realized is not null")
+    off = F.abs(F.col("prediction_error") - (F.col("actual_beta_realized") - F.col("predicted_beta_final")))
+    assert filled.filter(off > 1e-9).count() == 0
+    assert rows.filter("actual_beta_realized is null and prediction_error is not null").count() == 0
+
+
+def test_var_rows_of_both_days(spark, two_runs):
+    root, _, _ = two_runs
+    rows = _read(spark, root, "gold_risk_var_summary").collect()
+    assert len(rows) == 10 and {r.timestamp for r in rows} == {FIRST, SECOND}
+    assert all(r.historical_var < 0 and r.display_text.startswith("95% Daily VaR") for r in rows)
+
+
+def test_reports_have_rows(two_runs):
+    _, _, reports = two_runs
+    assert set(reports) == {
+        "stock_risk_panel", "stock_panic_panel", "panic_periods", "correlation_matrix",
+        "latest_regime", "risk_matrix", "quality_gate", "forecast_panel",
+    }
+    for name, df in reports.items():
+        assert df.count() > 0, name
+    assert reports["correlation_matrix"].count() == 100
+    assert reports["latest_regime"].count() == 1
+    assert reports["quality_gate"].first().null_predictions == 0
+
+
+def test_views_answer_sql(spark, two_runs):
+    root, _, _ = two_runs
+    names = register_views(
+        spark,
+        _read(spark, root, "bronze_price_history"),
+        _read(spark, root, "gold_risk_inference"),
+        _read(spark, root, "gold_risk_var_summary"),
+    )
+    assert len(names) == 14
+    for name in names:
+        assert spark.sql(f"SELECT * FROM {name}").count() > 0, name
+    got = spark.sql(
+        "SELECT v.ticker, max(annualized_volatility_30d) FROM silver_rolling_volatility v"
+        " JOIN gold_rolling_beta_30d b ON v.date = b.date AND v.ticker = b.ticker"
+        " WHERE v.ticker = :t GROUP BY v.ticker",
+        args={"t": "NVDA"},
+    )
+    assert got.count() == 1
+
+
+def test_archive_can_take_part_in_the_series(spark, two_runs):
+    """With the archive, the oldest bronze rows are no longer warm-up rows."""
+    root, _, _ = two_runs
+
+    def feats(include):
+        bars = pipeline.source_bars(spark, root, include)
+        returns = series.daily_returns(prices.clean_prices(bars))
+        return features.risk_features(series.risk_panel(returns))
+
+    assert feats(True).count() > feats(False).count()
+    first_day = feats(False).agg(F.min("date")).first()[0]
+    short = feats(False).filter(F.col("date") == first_day).orderBy("ticker").first()
+    whole = feats(True).filter(
+        (F.col("date") == first_day) & (F.col("ticker") == short.ticker)
+    ).first()
+    assert short.feat_rolling_vol_30d != whole.feat_rolling_vol_30d
+
+
+def test_run_without_enough_data(spark, landed, tmp_path):
+    few = landed.filter("date >= '2001-10-30' and ticker <> '^VIX'")
+    reports = pipeline.run(
+        spark, str(tmp_path), few, SECOND.date(), params=RiskParams(draws=10), forest_params=SMALL
+    )
+    assert "quality_gate" not in reports
+    assert _read(spark, str(tmp_path), "gold_risk_inference").count() == 0
+    assert reports["risk_matrix"].count() == 0
+
+
+def test_stream_takes_in_new_files_only(spark, landed, tmp_path):
+    drop, root, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    early = landed.filter("date < '2001-07-01' and date >= '2001-01-01'")
+    late = landed.filter("date >= '2001-06-01'")
+    early.coalesce(1).write.mode("append").parquet(drop)
+    stream_landed(spark, drop, root, state).awaitTermination()
+    assert _read(spark, root, "bronze_price_history").count() == early.count()
+    late.withColumn("volume", F.lit(7).cast("long")).coalesce(1).write.mode("append").parquet(drop)
+    stream_landed(spark, drop, root, state).awaitTermination()
+    bronze = _read(spark, root, "bronze_price_history")
+    assert bronze.count() == landed.filter("date >= '2001-01-01'").count()
+    # the overlapping month came twice and the later file won
+    assert bronze.filter("date >= '2001-06-01' and volume <> 7").count() == 0
+    stream_landed(spark, drop, root, state, features=True).awaitTermination()
+    assert _read(spark, root, "bronze_price_history").count() == bronze.count()
