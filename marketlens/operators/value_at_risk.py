@@ -16,9 +16,9 @@ from marketlens.params import RiskParams
 
 DEFAULTS = RiskParams()
 
-# A 52-bit integer is exact in a double, and so is its half-step.
-_HEX_DIGITS = 13
-_CELLS = 2.0**52
+# fixed values: multiplier of a public 32-bit integer mixer, and its word
+_MIXER = 0x45D9F3B
+_WORD = 0xFFFFFFFF
 
 
 def recent_returns(clean: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
@@ -73,16 +73,31 @@ def parametric_var(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFra
     )
 
 
-def _standard_normal(draw: Column, params: RiskParams) -> Column:
-    """A ticker's draw of the given number, from a hash: the same wherever it is computed."""
-    digest = F.md5(F.concat_ws("|", F.col("ticker"), draw.cast("string"), F.lit(str(params.seed))))
+def _streams(params: RiskParams) -> dict[str, Column]:
+    """Where a ticker's two streams of random words start, from a hash of its name."""
+    digest = F.md5(F.concat_ws("|", F.col("ticker"), F.lit(str(params.seed))))
+    return {
+        name: F.conv(F.substring(digest, first, 8), 16, 10).cast("long")
+        for name, first in (("stream_u", 1), ("stream_v", 9))
+    }
 
-    def uniform(first: int) -> Column:
-        cell = F.conv(F.substring(digest, first, _HEX_DIGITS), 16, 10).cast("double")
-        return (cell + 0.5) / _CELLS
 
-    radius = F.sqrt(-2.0 * F.ln(uniform(1)))
-    return radius * F.cos(2.0 * math.pi * uniform(1 + _HEX_DIGITS))
+def _uniform(stream: str, draw: Column) -> Column:
+    """Number ``draw`` of a stream, strictly between 0 and 1.
+
+    The counter is scrambled in 32 bits; the products stay below 2**59.
+    """
+    word = (F.col(stream) + draw).bitwiseAND(F.lit(_WORD))
+    for _ in range(2):
+        word = (F.shiftright(word, 16).bitwiseXOR(word) * _MIXER).bitwiseAND(F.lit(_WORD))
+    word = F.shiftright(word, 16).bitwiseXOR(word)
+    return (word + 0.5) / float(_WORD + 1)
+
+
+def _standard_normal(draw: Column) -> Column:
+    """Box-Muller on the two streams: the same wherever it is computed."""
+    radius = F.sqrt(-2.0 * F.ln(_uniform("stream_u", draw)))
+    return radius * F.cos(2.0 * math.pi * _uniform("stream_v", draw))
 
 
 def _simulate(moments: DataFrame, params: RiskParams) -> DataFrame:
@@ -99,13 +114,14 @@ def _simulate(moments: DataFrame, params: RiskParams) -> DataFrame:
     upper = F.element_at("simulated", min(below + 2, params.draws))
     simulated = F.transform(
         F.sequence(F.lit(0), F.lit(params.draws - 1)),
-        lambda draw: F.col("mu") + F.col("sigma") * _standard_normal(draw, params),
+        lambda draw: F.col("mu") + F.col("sigma") * _standard_normal(draw),
     )
     return (
         moments.repartition(tasks)
+        .withColumns(_streams(params))
         .withColumn("simulated", F.array_sort(simulated))
         .withColumn("monte_carlo", lower + (position - below) * (upper - lower))
-        .drop("simulated")
+        .drop("simulated", "stream_u", "stream_v")
     )
 
 

@@ -142,10 +142,17 @@ _CTES: dict[str, str] = {
                            mu + sigma * sqrt(-2 * ln(u1)) * cos(2 * pi() * u2), 0.05)
                            AS monte_carlo_var
                 FROM (SELECT ticker, mu, sigma,
-                             (CAST('0x' || substr(h, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u1,
-                             (CAST('0x' || substr(h, 14, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u2
-                      FROM (SELECT ticker, mu, sigma, md5(ticker || '|' || i || '|42') AS h
-                            FROM var_base_{n}, range(10000) draws(i)))
+                             (xor(u // 65536, u) + 0.5::DOUBLE) / 4294967296 AS u1,
+                             (xor(v // 65536, v) + 0.5::DOUBLE) / 4294967296 AS u2
+                      FROM (SELECT * REPLACE (xor(u // 65536, u) * 73244475 % 4294967296 AS u,
+                                              xor(v // 65536, v) * 73244475 % 4294967296 AS v)
+                      FROM (SELECT * REPLACE (xor(u // 65536, u) * 73244475 % 4294967296 AS u,
+                                              xor(v // 65536, v) * 73244475 % 4294967296 AS v)
+                      FROM (SELECT ticker, mu, sigma,
+                                   (CAST('0x' || substr(h, 1, 8) AS BIGINT) + i) % 4294967296 AS u,
+                                   (CAST('0x' || substr(h, 9, 8) AS BIGINT) + i) % 4294967296 AS v
+                            FROM (SELECT *, md5(ticker || '|42') AS h FROM var_base_{n}),
+                                 range(10000) draws(i)))))
                 GROUP BY ticker""",
         }.items()
     },
