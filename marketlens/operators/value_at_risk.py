@@ -94,8 +94,9 @@ def _uniform(stream: str, draw: Column) -> Column:
     return (word + 0.5) / float(_WORD + 1)
 
 
-def _standard_normal(draw: Column) -> Column:
+def _standard_normal() -> Column:
     """Box-Muller on the two streams: the same wherever it is computed."""
+    draw = F.col("draw")
     radius = F.sqrt(-2.0 * F.ln(_uniform("stream_u", draw)))
     return radius * F.cos(2.0 * math.pi * _uniform("stream_v", draw))
 
@@ -103,25 +104,30 @@ def _standard_normal(draw: Column) -> Column:
 def _simulate(moments: DataFrame, params: RiskParams) -> DataFrame:
     """Add to each ticker's row the tail percentile of ``draws`` simulated returns.
 
-    The draws live in an array inside the row and are never shuffled. The rows
-    are spread out by number before that, because they are far too small for
-    their size to tell how much work each of them is.
+    A ticker's draws are spelled out, gathered and sorted in the task that holds
+    the ticker, so they are never shuffled. The rows are spread over more tasks
+    before that: they are far too small for their size to tell how much work each
+    of them is, and left alone a few tasks would get them all. (The number is not
+    that of the partitions they are in, or Spark would see nothing to do.)
     """
-    tasks = int(moments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = 2 * int(moments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     position = (1 - params.confidence) * (params.draws - 1)
     below = math.floor(position)
     lower = F.element_at("simulated", below + 1)
     upper = F.element_at("simulated", min(below + 2, params.draws))
-    simulated = F.transform(
-        F.sequence(F.lit(0), F.lit(params.draws - 1)),
-        lambda draw: F.col("mu") + F.col("sigma") * _standard_normal(draw),
-    )
+    carried = [c for c in moments.columns if c != "ticker"]
     return (
-        moments.repartition(tasks)
+        moments.repartition(tasks, "ticker")
         .withColumns(_streams(params))
-        .withColumn("simulated", F.array_sort(simulated))
+        .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(params.draws - 1))))
+        .withColumn("simulated", F.col("mu") + F.col("sigma") * _standard_normal())
+        .groupBy("ticker")
+        .agg(
+            *[F.first(c).alias(c) for c in carried],
+            F.sort_array(F.collect_list("simulated")).alias("simulated"),
+        )
         .withColumn("monte_carlo", lower + (position - below) * (upper - lower))
-        .drop("simulated", "stream_u", "stream_v")
+        .drop("simulated")
     )
 
 

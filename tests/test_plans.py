@@ -58,8 +58,9 @@ def test_date_range_reaches_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
 
 
-def test_simulated_draws_are_not_shuffled(clean):
+def test_simulated_draws_are_spread_and_not_shuffled(clean):
     text = plan(var.monte_carlo_var(var.recent_returns(clean)))
-    assert "REPARTITION_BY_NUM" in text, "too little data for its size to spread the work"
-    draws = text.index("transform(")
-    assert "Exchange" not in text[:draws]
+    spelled_out = text.index("Generate explode")
+    assert "Exchange" not in text[:spelled_out]
+    spread = re.search(r"Exchange hashpartitioning\(ticker#\d+, \d+\), (\w+)", text[spelled_out:])
+    assert spread.group(1) == "REPARTITION_BY_NUM"
