@@ -87,6 +87,11 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.risk_features(_panel(spark, sf_dir))
 
 
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features as the stored table that later steps read."""
+    return cut_lineage(_features(spark, sf_dir))
+
+
 def _features_of(bars: DataFrame) -> DataFrame:
     returns = series.daily_returns(prices.clean_prices(bars))
     return features.risk_features(series.risk_panel(returns))
@@ -304,7 +309,7 @@ def silver_risk_features_merge(spark, sf_dir):
 @_query
 def gold_risk_metrics(spark, sf_dir):
     """All matured metrics, into an empty table."""
-    return features.matured_metrics(_features(spark, sf_dir))
+    return features.matured_metrics(_stored_features(spark, sf_dir))
 
 
 @_query
@@ -314,8 +319,8 @@ def gold_risk_metrics_append(spark, sf_dir):
     earlier = landing.scan_bars(
         bars, start=None, end=F.date_sub(_newest_date(bars), EARLIER_RUN_DAYS)
     )
-    present = features.matured_metrics(_features_of(earlier))
-    return features.matured_metrics(_features_of(bars), present)
+    present = features.matured_metrics(cut_lineage(_features_of(earlier)))
+    return features.matured_metrics(cut_lineage(_features_of(bars)), present)
 
 
 def _closing(spark, sf_dir, mode):
@@ -353,7 +358,7 @@ def feature_split_counts(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir):
-    train, open_rows = forest.split_features(_features(spark, sf_dir))
+    train, open_rows = forest.split_features(_stored_features(spark, sf_dir))
     return forest.fit_forest(train), train, open_rows
 
 
