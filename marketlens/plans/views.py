@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.functions.safe_math import register_safe_math
 from marketlens.operators import features, prices, series, value_at_risk
 from marketlens.params import RiskParams
+from marketlens.schemas import TABLES
+from marketlens.sources import tables
 
 
 def layer(bronze: DataFrame, params: RiskParams = RiskParams()) -> dict[str, DataFrame]:
@@ -46,3 +48,18 @@ def register_views(
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)
+
+
+def register_lake(spark: SparkSession, root: str, params: RiskParams = RiskParams()) -> list[str]:
+    """Every stored table under ``root`` and every view over them, by name."""
+    stored = {name: tables.read(spark, root, name) for name in TABLES}
+    for name, df in stored.items():
+        df.createOrReplaceTempView(name)
+    views = register_views(
+        spark,
+        stored["bronze_price_history"],
+        stored["gold_risk_inference"],
+        stored["gold_risk_var_summary"],
+        params,
+    )
+    return sorted({*stored, *views})

@@ -9,7 +9,7 @@ from marketlens import schemas
 from marketlens.operators import features, forest, prices, series
 from marketlens.params import RiskParams
 from marketlens.plans import pipeline
-from marketlens.plans.views import register_views
+from marketlens.plans.views import register_lake
 from marketlens.sources import tables
 from marketlens.sources.lineitem_bars import bars_from_lineitem
 from marketlens.streaming.ingest import stream_landed
@@ -124,13 +124,8 @@ def test_reports_have_rows(two_runs):
 
 def test_views_answer_sql(spark, two_runs):
     root, _, _ = two_runs
-    names = register_views(
-        spark,
-        _read(spark, root, "bronze_price_history"),
-        _read(spark, root, "gold_risk_inference"),
-        _read(spark, root, "gold_risk_var_summary"),
-    )
-    assert len(names) == 14
+    names = register_lake(spark, root)
+    assert len(names) == 17
     for name in names:
         assert spark.sql(f"SELECT * FROM {name}").count() > 0, name
     got = spark.sql(

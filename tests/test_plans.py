@@ -6,7 +6,7 @@ import pytest
 
 from marketlens.operators import prices, series, value_at_risk as var
 from marketlens.operators import features
-from marketlens.sources import landing
+from marketlens.sources import landing, tables
 from marketlens.sources.lineitem_bars import bars_from_lineitem
 
 
@@ -58,6 +58,18 @@ def test_date_range_reaches_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
 
 
+def test_market_series_reach_the_scan_of_stored_bars(spark, tmp_path):
+    tables.create_tables(spark, str(tmp_path))
+    bars = tables.read(spark, str(tmp_path), "bronze_price_history")
+    returns = series.daily_returns(prices.clean_prices(bars))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    assert "EqualTo(ticker,^GSPC)" in plan(series.market_returns(returns))
+    context = plan(series.date_context(returns))
+    assert "Or(EqualTo(ticker,^GSPC),EqualTo(ticker,^VIX))" in context
+    read = re.search(r"ReadSchema: struct<([^>]*)", context).group(1)
+    assert {c.split(":")[0] for c in read.split(",")} == {"id", "ticker", "date", "adj_close"}
+
+
 def test_simulated_draws_are_spread_and_not_shuffled(clean):
     text = plan(var.monte_carlo_var(var.recent_returns(clean)))
     spelled_out = text.index("Generate explode")
