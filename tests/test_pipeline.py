@@ -173,10 +173,11 @@ def test_stream_takes_in_new_files_only(spark, landed, tmp_path):
     stream_landed(spark, drop, root, state).awaitTermination()
     assert _read(spark, root, "bronze_price_history").count() == early.count()
     late.withColumn("volume", F.lit(7).cast("long")).coalesce(1).write.mode("append").parquet(drop)
-    stream_landed(spark, drop, root, state).awaitTermination()
+    stream_landed(spark, drop, root, state, features=True).awaitTermination()
+    assert _read(spark, root, "silver_risk_features").count() > 0
     bronze = _read(spark, root, "bronze_price_history")
     assert bronze.count() == landed.filter("date >= '2001-01-01'").count()
     # the overlapping month came twice and the later file won
     assert bronze.filter("date >= '2001-06-01' and volume <> 7").count() == 0
-    stream_landed(spark, drop, root, state, features=True).awaitTermination()
+    stream_landed(spark, drop, root, state).awaitTermination()
     assert _read(spark, root, "bronze_price_history").count() == bronze.count()

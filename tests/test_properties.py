@@ -74,10 +74,10 @@ def test_drawdown_is_never_positive(clean):
     assert series.max_drawdown(clean).filter("max_drawdown_pct > 0").count() == 0
 
 
-@pytest.mark.parametrize("per_block,stretch", [(256, 512), (3, 40), (1, 7)])
-def test_correlation_equals_pandas_whatever_the_blocks(clean, per_block, stretch):
+@pytest.mark.parametrize("per_block,stretch,tickers", [(256, 512, None), (3, 40, None), (2, 7, 14)])
+def test_correlation_equals_pandas_whatever_the_blocks(clean, per_block, stretch, tickers):
     returns = series.daily_returns(clean)
-    got = correlation_matrix(returns, per_block, stretch).toPandas()
+    got = correlation_matrix(returns, per_block, stretch, tickers).toPandas()
     assert not got.duplicated(["ticker_x", "ticker_y"]).any()
     flat = returns.toPandas().dropna(subset=["daily_return"])
     want = flat.pivot(index="date", columns="ticker", values="daily_return").corr()
