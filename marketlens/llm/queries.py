@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import langid, toxicity
 from .bpe import encode_documents, read_ranks
-from .frames import table
+from .frames import fold, table
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +19,24 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, ranks, public_tokenizers.PATTERN, digest=True).drop("text")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    net = langid.train(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", "text"), net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe,)}
+    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id)}
 
 
 def oracle_texts() -> dict[str, str]:
