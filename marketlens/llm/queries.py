@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, quality, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 
@@ -35,8 +35,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 4) == 2
+    chain = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score_documents(docs, chain).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id)}
+    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id, op6_quality)}
 
 
 def oracle_texts() -> dict[str, str]:
