@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, toxicity
+from . import langid, nearest, quality, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 
@@ -44,8 +44,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id, op6_quality)}
+    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id, op6_quality, op7_nearest)}
 
 
 def oracle_texts() -> dict[str, str]:
