@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, nearest, quality, toxicity
+from . import embed_dedup, langid, nearest, quality, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 
@@ -19,6 +19,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, ranks, public_tokenizers.PATTERN, digest=True).drop("text")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 5) == 0
@@ -50,7 +54,7 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op4_toxicity, op5_language_id, op6_quality, op7_nearest)}
+    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest)}
 
 
 def oracle_texts() -> dict[str, str]:
