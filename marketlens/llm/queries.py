@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, lm_score, nearest, quality, toxicity
+from . import embed_dedup, langid, lm_score, nearest, quality, suffix_dedup, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 
@@ -53,6 +53,10 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+
+
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 7) == 2
@@ -60,7 +64,7 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op9_lm_score)}
+    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score)}
 
 
 def oracle_texts() -> dict[str, str]:
