@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, lm_score, nearest, quality, suffix_dedup, toxicity
+from . import embed_dedup, jaccard_join, langid, lm_score, nearest, quality, suffix_dedup, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 
@@ -63,8 +63,12 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(docs, ~held_out).withColumn("held_out", held_out)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score)}
+    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score, op10_jaccard_join)}
 
 
 def oracle_texts() -> dict[str, str]:

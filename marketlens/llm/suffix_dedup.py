@@ -27,17 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bitmaps import bitmap_of, hits
 from .frames import as_bytes, cut, mixed, pieces
 from .words import _powers
 
 LENGTH, DIGIT = 200, 50
-#: Bits of a bitmap; the bytes of one go to every worker.
-BITMAP_BITS = 1 << 27
 #: Runs that a task sorts together, about; an anchor with more runs than MANY_RUNS is sorted window by window in the open.
 GROUP_RUNS, MANY_RUNS = 8_192, 8_192
 
 _VALUE = mixed(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_PLACE_BITS = np.uint64(28)
+_PLACE_BITS = np.uint64(32)
 
 
 class Hashes:
@@ -100,34 +99,6 @@ def both(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return mixed(first ^ mixed(second))
 
 
-def hits(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(len(bitmap) * 8 - 1)
-    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
-def bitmap_of(hashes: DataFrame) -> bytes:
-    """BITMAP_BITS bits with those set that the one column of hashes names; tasks fill a part of it each."""
-    part = 1 << 16  # bits
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(batch.column(0).to_numpy().view(np.uint64) & np.uint64(BITMAP_BITS - 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at // part).astype(np.int32)), pa.array((at % part).astype(np.int32))], names=["part", "at"]
-            )
-
-    def fill(group: pa.Table) -> pa.Table:
-        bits = np.zeros(part, bool)
-        bits[group["at"].to_numpy()] = True
-        return pa.table({"part": group["part"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    placed = hashes.mapInArrow(place, "part int, at int").distinct()
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for row in placed.groupBy("part").applyInArrow(fill, "part int, bits binary").collect():
-        out[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(row["bits"], np.uint8)
-    return out.tobytes()
-
-
 def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of what some spans cover."""
     if not len(start):

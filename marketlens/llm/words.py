@@ -77,11 +77,10 @@ def shingle_hashes(words: np.ndarray, count: np.ndarray, n: int) -> list[np.ndar
             if k >= n:
                 out.append(np.unique(run[begin : stop - n + 1]))
             elif k:
-                whole = words[begin]
-                for w in words[begin + 1 : stop]:
-                    whole = pair_hash(whole[None] if np.ndim(whole) == 0 else whole, np.array([w]))[0]
-                # not to be taken for the start of a longer shingle
-                out.append(mixed(np.array([whole], np.uint64) + np.uint64(k)))
+                whole = words[begin : begin + 1]
+                for i in range(begin + 1, stop):
+                    whole = pair_hash(whole, words[i : i + 1])
+                out.append(mixed(whole + np.uint64(k)))  # not to be taken for a whole shingle
             else:
                 out.append(np.zeros(0, np.uint64))
     return out
