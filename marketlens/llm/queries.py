@@ -8,9 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, jaccard_join, langid, lm_score, nearest, quality, suffix_dedup, toxicity
+from . import embed_dedup, jaccard_join, langid, lm_score, mixing, nearest, quality, suffix_dedup, toxicity
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
+from .oracles import ORACLES
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), text=None).drop("key")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +73,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score, op10_jaccard_join)}
 
 
 def oracle_texts() -> dict[str, str]:
     """SQL for those that it can express."""
-    return {}
+    return dict(ORACLES)
