@@ -159,6 +159,10 @@ class Encoder:
                 keep = _apart(at.tolist(), gone.tolist())
                 at, gone = at[keep], gone[keep]
             after = right[gone]
+            beside = np.flatnonzero(after[:-1] == at[1:])
+            if len(beside):  # singly, the left one would meet the first half of the right one for a while
+                met = self._rank_of(np.full(len(beside), rank), symbol[after[beside]])
+                again.update(np.searchsorted(ends, at[beside[(met >= 0) & (met < rank)]]).tolist())
             symbol[at] = rank
             alive[gone] = False
             now[gone] = -1

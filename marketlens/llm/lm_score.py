@@ -278,26 +278,26 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
                 )
 
     distinct_total = distinct
-    inner = ["_tokens", "_sure", "_exact", "_score", "_rare"]
+    inner = ["__tokens", "__sure", "__exact", "__score", "__rare"]
     needed = docs.select(*dict.fromkeys([*kept, text]))
     schema = T.StructType(
         [docs.schema[c] for c in kept]
-        + list(T.StructType.fromDDL("_tokens long, _sure long, _exact double, _score double, _rare array<long>"))
+        + list(T.StructType.fromDDL("__tokens long, __sure long, __exact double, __score double, __rare array<long>"))
     )
-    first = cut(needed.mapInArrow(read, schema).withColumn("_row", F.monotonically_increasing_id()))
+    first = cut(needed.mapInArrow(read, schema).withColumn("__row", F.monotonically_increasing_id()))
     words = counted.filter("order = 1").mapInArrow(_unpacked, "hash long, n long")
-    rare = first.select("_row", F.explode("_rare").alias("hash")).groupBy("hash", "_row").agg(F.count("*").alias("times"))
+    rare = first.select("__row", F.explode("__rare").alias("hash")).groupBy("hash", "__row").agg(F.count("*").alias("times"))
     found = (
         rare.join(words, "hash")
-        .groupBy("_row")
-        .agg(F.sum("times").alias("_more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_log"))
+        .groupBy("__row")
+        .agg(F.sum("times").alias("__more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("__log"))
     )
     none = F.lit(0)
-    return first.join(found, "_row", "left").select(
+    return first.join(found, "__row", "left").select(
         *kept,
-        F.col("_tokens").alias("n_tokens"),
-        (F.col("_sure") + F.coalesce("_more", none)).alias("n_known"),
+        F.col("__tokens").alias("n_tokens"),
+        (F.col("__sure") + F.coalesce("__more", none)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("_exact") + F.coalesce("_log", none) - F.col("_tokens") * per_token).alias("base_score"),
-        F.col("_score").alias("score"),
+        (F.col("__exact") + F.coalesce("__log", none) - F.col("__tokens") * per_token).alias("base_score"),
+        F.col("__score").alias("score"),
     )

@@ -164,8 +164,8 @@ def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None
 
     Of rows alike in source, id and text one stands for all. Written files hold ascending stretches of the mixture.
     """
-    places = mix(docs, weights, block, doc_id, source, text).select("position", F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    one = docs.withColumns({"_k": F.xxhash64(F.col(text))}).dropDuplicates([source, doc_id, "_k"])
-    same = one[source].cast("string").eqNullSafe(places["_source"]) & one[doc_id].eqNullSafe(places["_id"]) & (one["_k"] == places["_key"])
-    joined = one.join(places, same).select(*docs.columns, "position")
-    return joined.repartitionByRange("position").sortWithinPartitions("position").select(docs.columns)
+    places = mix(docs, weights, block, doc_id, source, text).select(F.col("position").alias("__position"), F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    one = docs.withColumns({"__k": F.xxhash64(F.col(text))}).dropDuplicates([source, doc_id, "__k"])
+    same = one[source].cast("string").eqNullSafe(places["__source"]) & one[doc_id].eqNullSafe(places["__id"]) & (one["__k"] == places["__key"])
+    joined = one.join(places, same).select(*docs.columns, "__position")
+    return joined.repartitionByRange("__position").sortWithinPartitions("__position").select(docs.columns)

@@ -95,6 +95,8 @@ def as_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def block_top(queries: pa.Table, block: pa.Table, k: int) -> pa.Table:
     """The k best of one block for each query of another: estimates, choice by bounds, exact products of the chosen."""
+    if not len(queries) or not len(block):  # vectors of a length that the other side lacks
+        return pa.table([np.zeros(0, t) for t in ("i8", "i8", "i8", "f8")], names=["query_row", "query_id", "vec_id", "score"])
     q, v = as_matrix(queries["vector"]), as_matrix(block["vector"])
     q_id, v_id = queries["id"].to_numpy(), block["id"].to_numpy()
     q_row, v_row = queries["row"].to_numpy(), block["row"].to_numpy()
@@ -104,14 +106,13 @@ def block_top(queries: pa.Table, block: pa.Table, k: int) -> pa.Table:
         low, high = codes.bounds(q[a : a + TOGETHER])
         own = q_row[a : a + TOGETHER, None] == v_row[None]  # a query's own row is no candidate
         low[own] = high[own] = -np.inf
-        kth = np.partition(low, max(low.shape[1] - k, 0), axis=1)[:, max(low.shape[1] - k, 0)] if low.shape[1] else low
+        kth = np.partition(low, max(low.shape[1] - k, 0), axis=1)[:, max(low.shape[1] - k, 0)]
         for i in range(len(low)):
             chosen = np.flatnonzero((high[i] >= kth[i]) & ~own[i])
             score = (v[chosen] * q[a + i]).sum(axis=1)
             best = np.lexsort((v_id[chosen], -score))[:k]
             out.append((np.full(len(best), q_row[a + i]), np.full(len(best), q_id[a + i]), v_id[chosen[best]], score[best]))
-    columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, t) for t in ("i8", "i8", "i8", "f8")]
-    return pa.table(columns, names=["query_row", "query_id", "vec_id", "score"])
+    return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], names=["query_row", "query_id", "vec_id", "score"])
 
 
 def _numbers(n: int) -> Column:

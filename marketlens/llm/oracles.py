@@ -14,8 +14,8 @@ EMBEDDING_DEDUP = f"""
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 usable AS (
     SELECT vec_id, label, e FROM v
-    WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(e, x -> x <> 0)) > 0
+    WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0
 ),
 links AS (
     SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
@@ -31,10 +31,10 @@ FROM component LEFT JOIN degree ON a = id
 SUFFIX_DEDUP = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 -- pieces of 1,000 bytes and the 199 after them, so that no window is cut out of a long string
-piece AS (SELECT doc_id, at, substr(h, 2 * at + 1, 2398) AS p FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 1000)) AS at FROM d)),
+piece AS (SELECT doc_id, pos, substr(h, 2 * pos + 1, 2398) AS p FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 1000)) AS pos FROM d)),
 win AS (
-    SELECT doc_id, at + i AS start, md5(substr(p, 2 * i + 1, 400)) AS g
-    FROM (SELECT doc_id, at, p, unnest(range(0, least(1000, length(p) // 2 - 199))) AS i FROM piece)
+    SELECT doc_id, pos + i AS start, md5(substr(p, 2 * i + 1, 400)) AS g
+    FROM (SELECT doc_id, pos, p, unnest(range(0, least(1000, length(p) // 2 - 199))) AS i FROM piece)
 ),
 twice AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
 hit AS (SELECT doc_id, start FROM win WHERE g IN (SELECT g FROM twice)),
@@ -60,14 +60,14 @@ FROM d LEFT JOIN told USING (doc_id) LEFT JOIN stays USING (doc_id)
 JACCARD_JOIN = rf"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(string_split_regex(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
     FROM documents
 ),
 s AS (
     SELECT doc_id, CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')))
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
     END AS s FROM w
 ),
 t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),

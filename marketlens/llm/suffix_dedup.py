@@ -243,26 +243,26 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, di
     names = ["n_bytes", "n_removed", "n_spans", *(["kept_sha256"] if digest else [])]
     kept = [c for c in docs.columns if c.lower() not in names]
     named = docs.select(
-        *[c for c in kept if not digest or c != text], F.coalesce(F.col(text), F.lit("")).alias("_text") if digest else F.col(text).alias("_text")
-    ).withColumns({"_key": F.xxhash64("_text"), "_size": F.octet_length(F.coalesce("_text", F.lit(""))).cast("long")})
+        *[c for c in kept if not digest or c != text], F.coalesce(F.col(text), F.lit("")).alias("__text") if digest else F.col(text).alias("__text")
+    ).withColumns({"__key": F.xxhash64("__text"), "__size": F.octet_length(F.coalesce("__text", F.lit(""))).cast("long")})
     others = [c for c in kept if c != text]
-    texts = named.filter(F.col("_size") >= length).select(F.col("_key").alias("key"), F.col("_size").alias("size"), F.col("_text").alias("text"))
+    texts = named.filter(F.col("__size") >= length).select(F.col("__key").alias("key"), F.col("__size").alias("size"), F.col("__text").alias("text"))
     spans = (
         repeated_spans(texts, length, digit)
-        .groupBy(F.col("key").alias("_key"), F.col("size").alias("_size"))
-        .agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))  # of one text: as many as it has bytes at most
+        .groupBy(F.col("key").alias("__key"), F.col("size").alias("__size"))
+        .agg(F.collect_set(F.struct("start", "stop")).alias("__spans"))  # of one text: as many as it has bytes at most
     )
     schema = T.StructType(
         [docs.schema[c] for c in others]
-        + list(T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "_left string")))
+        + list(T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "__left string")))
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "_text"):
-                data, begin = as_bytes(part.column("_text"))
+            for part in pieces(batch, "__text"):
+                data, begin = as_bytes(part.column("__text"))
                 size, removed, n_spans, left = [], [], [], []
-                for a, b, raw in zip(begin[:-1].tolist(), begin[1:].tolist(), part.column("_spans"), strict=True):
+                for a, b, raw in zip(begin[:-1].tolist(), begin[1:].tolist(), part.column("__spans"), strict=True):
                     own = data[a:b]
                     found = np.array([(x["start"], x["stop"]) for x in raw.as_py() or ()], np.int64).reshape(-1, 2)
                     start, stop = merged(found[:, 0], found[:, 1])
@@ -284,14 +284,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, di
                     last = last.cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in others] + [pa.array(x, pa.int64()) for x in (size, removed, n_spans)] + [last],
-                    names=[*others, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "_left"],
+                    names=[*others, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "__left"],
                 )
 
-    joined = named.join(spans, ["_key", "_size"], "left").select(*others, "_text", "_spans")
+    joined = named.join(spans, ["__key", "__size"], "left").select(*others, "__text", "__spans")
     if digest:
         return joined.mapInArrow(remove, schema)
-    blank = joined.withColumn("_null", F.col("_text").isNull())
-    schema = T.StructType([*schema.fields[: len(others)], T.StructField("_null", T.BooleanType()), *schema.fields[len(others) :]])
-    others = [*others, "_null"]
+    blank = joined.withColumn("__null", F.col("__text").isNull())
+    schema = T.StructType([*schema.fields[: len(others)], T.StructField("__null", T.BooleanType()), *schema.fields[len(others) :]])
+    others = [*others, "__null"]
     out = blank.mapInArrow(remove, schema)
-    return out.select(*[F.when(~F.col("_null"), F.col("_left")).alias(text) if c == text else F.col(c) for c in kept], "n_bytes", "n_removed", "n_spans")
+    return out.select(*[F.when(~F.col("__null"), F.col("__left")).alias(text) if c == text else F.col(c) for c in kept], "n_bytes", "n_removed", "n_spans")

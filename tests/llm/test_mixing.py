@@ -1,0 +1,69 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.llm import mixing
+
+
+@pytest.mark.parametrize("weights", [[1], [1, 1], [5, 3, 1], [1000, 1, 1, 1], list(range(1, 60))])
+def test_every_block_meets_its_window(weights):
+    period = 256
+    slots = mixing.shares(np.array(weights, float), period)
+    assert slots.sum() == period and slots.min() >= 1
+    times = mixing.schedule(slots)
+    assert sorted(t for own in times for t in own) == list(range(period))
+    for s, own in zip(slots, times, strict=True):
+        k = np.arange(s)
+        assert (own >= k * period // s).all() and (own < -(-(k + 1) * period // s)).all()
+        given = np.searchsorted(own, np.arange(period + 1))  # blocks before each point
+        assert (abs(given - np.arange(period + 1) * s / period) < 1).all()
+
+
+def test_mixture_of_documents(documents):
+    rows = mixing.mix(documents).orderBy("position").collect()
+    assert [r["position"] for r in rows] == list(range(len(rows)))
+    ids = {r["doc_id"] for r in documents.select("doc_id").collect()}
+    assert {r["doc_id"] for r in rows} == ids
+    by_slot = {}
+    for r in rows:
+        by_slot.setdefault(r["slot"], []).append(r["source"])
+    assert all(len(s) == mixing.BLOCK and len(set(s)) == 1 for s in by_slot.values())
+    seen = Counter((r["source"], r["doc_id"], r["epoch"]) for r in rows)
+    assert max(seen.values()) == 1  # once an epoch
+
+
+def test_given_weights(documents):
+    rows = mixing.mix(documents, {"src0": 3.0, "src1": 1.0, "absent": 9.0}, block=1).collect()
+    count = Counter(r["source"] for r in rows)
+    assert set(count) == {"src0", "src1"}
+    # src1 would have to come up more than MOST_EPOCHS times, or its share is met
+    share = count["src0"] / sum(count.values())
+    most = max(r["epoch"] for r in rows)
+    assert abs(share - 0.75) < 0.01 or most >= mixing.MOST_EPOCHS - 1
+
+
+def test_a_small_source_is_repeated_no_more_than_allowed(spark):
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 5, "small").otherwise("large").alias("source"), F.lit("t").alias("text"))
+    rows = mixing.mix(docs, {"small": 1.0, "large": 1.0}, block=1).collect()
+    count = Counter(r["doc_id"] for r in rows if r["source"] == "small")
+    assert set(count) == set(range(5)) and max(count.values()) <= mixing.MOST_EPOCHS + 1
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    places = mixing.mix(odd_docs, block=1).collect()
+    assert sorted(r["position"] for r in places) == list(range(len(places)))
+    alike = lambda frame, names: {(r[names[0]], r[names[1]]) for r in frame}
+    assert alike(places, ("source", "doc_id")) == alike(odd_docs.collect(), ("source", "doc_id"))
+    rows = mixing.mixed_documents(odd_docs, block=1)
+    assert rows.columns == odd_docs.columns and rows.count() == len(places)
+    assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
+    assert mixing.mix(odd_docs, {"other": 1.0}).count() == 0
+
+
+def test_repeated_rows_are_split(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    docs = spark.range(100).select(F.lit(1).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("t").alias("text"))
+    rows = mixing.mix(docs, block=1).collect()
+    assert sorted(r["position"] for r in rows) == list(range(100))
