@@ -116,69 +116,84 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
     """
     session = texts.sparkSession.sparkContext
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Each run's text (row of the part), first and last window and anchor within it, and its hashes; the text's bytes."""
+        data, begin = as_bytes(part.column("text"))
+        first, last, at, gram, whole = runs(data, begin, length, digit)
+        owner = np.searchsorted(begin, first, "right") - 1
+        base = begin[owner]
+        return owner, first - base, last - base, at - base, gram, whole, data, base
+
+    # pass 1; of most anchors there is one, and nothing of them goes on
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                data, begin = as_bytes(part.column("text"))
-                first, _, _, gram, whole = runs(data, begin, length, digit)
-                owner = np.searchsorted(begin, first, "right") - 1
-                name = place_hash(part.column("key").to_numpy()[owner], first - begin[owner])
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram, whole, name)], names=["gram", "run", "name"])
-
-    found = texts.mapInArrow(count, "gram long, run long, name long")
-    # passes 1 and 2; of equal runs the one with the least name stands for all
-    counted = cut(found.groupBy("gram", "run").agg(F.count("*").alias("n"), F.min("name").alias("name")))
-    several = cut(counted.groupBy("gram").agg(F.count("*").alias("n_runs")).filter("n_runs > 1"))
-    anchors = session.broadcast(bitmap_of(several.select("gram")))
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(anchors.value, np.uint8)
+                _, _, _, _, gram, whole, _, _ = found(part)
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram, whole)], names=["gram", "run"])
+
+    first = texts.mapInArrow(anchors, "gram long, run long").groupBy("gram")
+    first = first.agg(F.count("*").alias("n"), F.min("run").alias("run"), F.max("run").alias("other")).filter("n > 1")
+    first = cut(first)
+    mixed_anchors = session.broadcast(bitmap_of(first.filter("run != other").select("gram")))
+
+    # pass 2: of the anchors with several runs; the run of the least name stands for all equal ones
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(mixed_anchors.value, np.uint8)
         for batch in batches:
-            yield batch.filter(pa.array(hits(bits, batch.column("gram").to_numpy().view(np.uint64)))).select(["name"])
+            for part in pieces(batch, "text"):
+                owner, start, _, _, gram, whole, _, _ = found(part)
+                on = hits(bits, gram)
+                name = place_hash(part.column("key").to_numpy()[owner[on]], start[on])
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram[on], whole[on], name)], names=["gram", "run", "name"])
+
+    second = texts.mapInArrow(named, "gram long, run long, name long")
+    second = cut(second.groupBy("gram", "run").agg(F.count("*").alias("n"), F.min("name").alias("name")))
+    again = first.filter("run = other").select("gram", "run").union(second.filter("n > 1").select("gram", "run")).distinct()
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = both(batch.column("gram").to_numpy().view(np.uint64), batch.column("run").to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64))], names=["pair"])
 
-    names = counted.select("gram", "name").mapInArrow(compared, "name long")
-    again = counted.filter("n > 1").select("gram", "run")
-    shared = session.broadcast((bitmap_of(again.mapInArrow(pair, "pair long")), bitmap_of(names)))
+    per_anchor = second.groupBy("gram").agg(F.count("*").alias("n_runs"))
+    shared = session.broadcast(
+        (
+            bitmap_of(again.mapInArrow(pair, "pair long")),
+            bitmap_of(second.select("name")),
+            bitmap_of(per_anchor.filter(F.col("n_runs") > MANY_RUNS).select("gram")),
+        )
+    )
+    n_groups = max(1, -(-second.count() // GROUP_RUNS))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs that occur again, without bytes, and runs whose windows are to be compared, with theirs."""
-        repeated, open_runs = (np.frombuffer(x, np.uint8) for x in shared.value)
+        """Runs that occur again, without bytes, and runs whose windows are to be compared, with theirs; of copies of a
+        text that lie together each run once. Those to be compared have a group; in group -1 they are laid open."""
+        repeated, open_runs, crowded = (np.frombuffer(x, np.uint8) for x in shared.value)
         for batch in batches:
             for part in pieces(batch, "text"):
-                data, begin = as_bytes(part.column("text"))
-                first, last, at, gram, whole = runs(data, begin, length, digit)
-                owner = np.searchsorted(begin, first, "right") - 1
+                owner, start, last, at, gram, whole, data, base = found(part)
                 key, size = part.column("key").to_numpy()[owner], part.column("size").to_numpy()[owner]
-                base = begin[owner]
-                full = hits(repeated, both(gram, whole))
-                compare = hits(open_runs, place_hash(key, first - base))
-                for chosen, with_bytes in ((np.flatnonzero(full), False), (np.flatnonzero(compare), True)):
-                    if with_bytes:
-                        body = [data[a:b].tobytes() for a, b in zip(first[chosen].tolist(), (last[chosen] + length).tolist(), strict=True)]
-                    else:
-                        body = [None] * len(chosen)
-                    columns = [key[chosen], size[chosen], (first - base)[chosen], (last - base)[chosen], (at - base)[chosen], gram[chosen].view(np.int64), whole[chosen].view(np.int64)]
+                name = place_hash(key, start)
+                once = np.zeros(len(name), bool)
+                once[np.unique(name, return_index=True)[1]] = True
+                group = (mixed(gram) % np.uint64(n_groups)).astype(np.int64)
+                group[hits(crowded, gram)] = -1
+                full = np.flatnonzero(once & hits(repeated, both(gram, whole)))
+                compare = np.flatnonzero(once & hits(open_runs, name))
+                body = [data[a : b + length].tobytes() for a, b in zip((base + start)[compare].tolist(), (base + last)[compare].tolist(), strict=True)]
+                for chosen, texts_of in ((full, [None] * len(full)), (compare, body)):
+                    columns = [group, key, size, start, last, at, gram.view(np.int64), whole.view(np.int64)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in columns] + [pa.array(body, pa.binary())],
-                        names=["key", "size", "first", "last", "at", "gram", "run", "bytes"],
+                        [pa.array(c[chosen], pa.int64()) for c in columns] + [pa.array(texts_of, pa.binary())], names=names
                     )
 
-    picked = texts.mapInArrow(pick, "key long, size long, first long, last long, at long, gram long, run long, bytes binary")
-    # a text of many copies has each of its runs once from here on
-    alike = ["key", "size", "first", "last", "at", "gram", "run"]
-    full = picked.filter("bytes IS NULL").select(alike).distinct().join(again, ["gram", "run"], "left_semi")
+    names = ["group", "key", "size", "first", "last", "at", "gram", "run", "bytes"]
+    picked = texts.mapInArrow(pick, ", ".join(f"{c} long" for c in names[:-1]) + ", bytes binary")
+    full = picked.filter("bytes IS NULL").select("key", "size", "first", "last", "gram", "run").join(again, ["gram", "run"], "left_semi")
     spans = full.select("key", "size", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))
+    open_runs = picked.filter("bytes IS NOT NULL")
 
     # pass 3
-    open_runs = picked.filter("bytes IS NOT NULL").groupBy(*alike).agg(F.first("bytes").alias("bytes"))
-    open_runs = cut(open_runs.join(several, "gram"))
-    n_groups = max(1, -(-open_runs.count() // GROUP_RUNS))
-
     def windows(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every window of some runs: its row, its place in the row's text, and its hash with its anchor's."""
         data, begin = as_bytes(rows["bytes"].combine_chunks() if isinstance(rows, pa.Table) else rows["bytes"])
@@ -203,13 +218,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
         return pa.table([key, size, place[edge], place[last] + length], names=["key", "size", "start", "stop"])
 
     def sort_group(rows: pa.Table) -> pa.Table:
+        name = place_hash(rows["key"].to_numpy(), rows["first"].to_numpy())
+        rows = rows.take(np.sort(np.unique(name, return_index=True)[1]))  # copies of a text that lay apart
         row, place, name = windows(rows)
         _, inverse, times = np.unique(name, return_inverse=True, return_counts=True)
         twice = times[inverse] > 1
         return spans_of(rows, row[twice], place[twice])
 
-    few = open_runs.filter(F.col("n_runs") <= MANY_RUNS).withColumn("group", F.pmod(F.xxhash64("gram"), F.lit(n_groups)))
-    spans = spans.union(few.groupBy("group").applyInArrow(sort_group, "key long, size long, start long, stop long"))
+    few = open_runs.filter("group >= 0").groupBy("group")
+    spans = spans.union(few.applyInArrow(sort_group, "key long, size long, start long, stop long"))
 
     def lay_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,9 +236,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
                 gram = part.column("gram").to_numpy()[row]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, name.view(np.int64), key, size, place)], names=["gram", "window", "key", "size", "place"])
 
-    many = open_runs.filter(F.col("n_runs") > MANY_RUNS)
-    if not many.isEmpty():
-        opened = cut(many.mapInArrow(lay_open, "gram long, window long, key long, size long, place long"))
+    if not per_anchor.filter(F.col("n_runs") > MANY_RUNS).isEmpty():
+        # a window's row is its text and place: of copies one is left before any are counted
+        opened = open_runs.filter("group < 0").mapInArrow(lay_open, "gram long, window long, key long, size long, place long")
+        opened = cut(opened.distinct())
         twice = opened.groupBy("gram", "window").agg(F.count("*").alias("n")).filter("n > 1").select("gram", "window")
         spans = spans.union(
             opened.join(twice, ["gram", "window"], "left_semi").select("key", "size", F.col("place").alias("start"), (F.col("place") + length).alias("stop"))
