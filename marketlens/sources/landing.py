@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marketlens import schemas
 from marketlens.functions.placement import as_date, keep_members
 
-# fixed value: first day that is ingested
+# fixed value: first day that a daily download asks for; give it as `start` to leave out what is older
 HISTORY_START = dt.date(2024, 1, 1)
 
 PRICE_FIELDS = ("open", "high", "low", "close")
@@ -20,10 +20,13 @@ BAR_FIELDS = (*PRICE_FIELDS, "volume")
 def scan_bars(
     bars: DataFrame,
     tickers: Sequence[str] | None = None,
-    start: dt.date | str | Column | None = HISTORY_START,
+    start: dt.date | str | Column | None = None,
     end: dt.date | str | Column | None = None,
 ) -> DataFrame:
-    """Bars of the given symbols with start <= date < end; both bounds reach the file scan."""
+    """Bars of the given symbols with start <= date < end; both bounds reach the file scan.
+
+    Without bounds and symbols that is all of them.
+    """
     if start is not None:
         bars = bars.filter(F.col("date") >= as_date(start))
     if end is not None:
@@ -36,7 +39,7 @@ def read_landed(
     path: str,
     file_format: str = "parquet",
     tickers: Sequence[str] | None = None,
-    start: dt.date | str | None = HISTORY_START,
+    start: dt.date | str | None = None,
     end: dt.date | str | None = None,
 ) -> DataFrame:
     """Landed long bars, read under a fixed schema."""
@@ -54,13 +57,21 @@ def wide_to_long(wide: DataFrame, date_column: str = "Date", drop_empty_bars: bo
     """Turn one row per date with ``<ticker>_<Field>`` columns into one row per (date, ticker).
 
     Each wide row is expanded where it lies, so nothing is shuffled. Prices are
-    taken as already adjusted: the adjusted close is the close.
+    taken as already adjusted: the adjusted close is the close. Every column but
+    the date must name a ticker and a field of a bar; others are an error.
     """
     columns: dict[str, dict[str, str]] = {}
+    unknown = []
     for name in wide.columns:
+        if name == date_column:
+            continue
         ticker, sep, field = name.rpartition("_")
-        if name != date_column and sep and _plain(field) in BAR_FIELDS:
+        if sep and ticker and _plain(field) in BAR_FIELDS:
             columns.setdefault(ticker, {})[_plain(field)] = name
+        else:
+            unknown.append(name)
+    if unknown:
+        raise ValueError(f"not <ticker>_<Field> of a bar: {unknown}")
 
     def cell(have: dict[str, str], field: str) -> Column:
         kind = "long" if field == "volume" else "double"

@@ -27,11 +27,10 @@ def stream_landed(
     """
 
     def take_in(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
         session = batch.sparkSession
-        pipeline.ingest(session, root, batch)
-        years = tables.years_of(batch, "bronze_price_history")
+        years = pipeline.ingest(session, root, batch)  # the batch is read once, here
+        if not years:
+            return
         pipeline.dedup_bronze(session, root, years)
         if features:
             pipeline.update_features(session, root)
