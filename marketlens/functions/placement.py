@@ -1,13 +1,11 @@
-"""Where small inputs go, when lineage is cut, and how a clock value is read."""
+"""Where small inputs go, and how a clock value is read."""
 
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A date column can take at most this many values (0001-01-01 to 9999-12-31).
 CALENDAR_ROWS = 3_652_059
@@ -39,33 +37,15 @@ def keep_members(df: DataFrame, tickers: Sequence[str]) -> DataFrame:
     return df.join(members, "ticker", "left_semi")
 
 
+def as_time(value: dt.date | dt.datetime | str | Column) -> Column:
+    """A moment given as a timestamp, a date (its midnight), an ISO string or a column."""
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    return F.lit(str(value)).cast("timestamp")
+
+
 def as_date(value: dt.date | str | Column) -> Column:
     """A clock value given as a date, an ISO string or a column."""
     if isinstance(value, Column):
         return value.cast("date")
     return F.lit(str(value)).cast("date")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and go on from there.
-
-    It is computed once, whoever reads it afterwards, and a lost executor costs a
-    re-read only. Unlike a checkpoint of rows, the written columns can be pruned.
-    """
-    spark = df.sparkSession
-    path = f"{_checkpoint_dir(spark)}/marketlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; only a local session may go without and gets its own."""
-    context = spark.sparkContext
-    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
-    context.setCheckpointDir(own)
-    return own

@@ -33,21 +33,32 @@ def risk_features(panel: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """New rows replace existing ones with the same key; all others survive."""
-    kept = existing.join(new.select(*keys), keys, "left_anti")
-    return kept.unionByName(new)
+    """New rows replace existing ones with the same key; all others survive.
+
+    Each side is read once: the rows of both are reduced to the newer one of a key.
+    Keys are unique within either side, as they are in a stored table.
+    """
+    both = existing.withColumn("_side", F.lit(0)).unionByName(new.withColumn("_side", F.lit(1)))
+    rest = [c for c in existing.columns if c not in keys]
+    newer = both.groupBy(*keys).agg(*[F.max_by(c, "_side").alias(c) for c in rest])
+    return newer.select(*existing.columns)
 
 
 def matured_metrics(
-    features: DataFrame, existing: DataFrame | None = None, params: RiskParams = DEFAULTS
+    features: DataFrame,
+    existing: DataFrame | None = None,
+    params: RiskParams = DEFAULTS,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Feature rows old enough for their target to be known and not yet in ``existing``.
 
     "Old enough" is: not after the date that has ``lead`` later dates in the table.
-    With fewer dates than that there is no such date and nothing matures.
+    With fewer dates than that there is no such date and nothing matures. If
+    ``features`` and ``existing`` are some years of their tables, ``dates`` is the
+    whole feature table, of which the dates are read.
     """
     last_matured = (
-        features.select("date").distinct().orderBy(F.desc("date")).offset(params.lead).limit(1)
+        (features if dates is None else dates).select("date").distinct().orderBy(F.desc("date")).offset(params.lead).limit(1)
     )
     rows = features.filter(F.col("date") <= last_matured.scalar())
     if existing is not None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlens.functions.placement import as_date, keep_members
+from marketlens.functions.placement import as_time, keep_members
 from marketlens.params import RiskParams
 
 DEFAULTS = RiskParams()
@@ -94,10 +94,9 @@ def risk_matrix(
 ) -> DataFrame:
     """Beta forecast against VaR for the universe, in quadrants around the medians.
 
-    The medians are over the universe, a list the caller wrote down, and so is the
-    one window that holds it.
+    The medians are one aggregate over the universe; every point is compared with
+    them where it lies.
     """
-    everyone = Window.partitionBy(F.lit(0))
     points = (
         keep_members(latest_var, universe)
         .join(latest_predictions, "ticker")
@@ -108,8 +107,9 @@ def risk_matrix(
             "forecast_date",
         )
     )
-    high_beta = F.col("pred_beta") > F.median("pred_beta").over(everyone)
-    high_var = F.col("mc_var") > F.median("mc_var").over(everyone)
+    middle = points.agg(F.struct(F.median("pred_beta").alias("beta"), F.median("mc_var").alias("var"))).scalar()
+    high_beta = F.col("pred_beta") > middle.getField("beta")
+    high_var = F.col("mc_var") > middle.getField("var")
     return points.withColumn(
         "risk_category",
         F.when(high_beta & high_var, QUADRANTS[True, True])
@@ -131,13 +131,15 @@ def forecast_panel(forecast: DataFrame, spotlight: Sequence[str]) -> DataFrame:
 
 
 def quality_gate(
-    forecast: DataFrame, as_of: dt.date | str | Column, params: RiskParams = DEFAULTS
+    forecast: DataFrame, as_of: dt.date | dt.datetime | str | Column, params: RiskParams = DEFAULTS
 ) -> DataFrame:
     """One row that says what is wrong with a forecast; the caller decides what to do about it.
 
-    Missing predictions are failures, extreme betas are warnings.
+    Missing predictions are failures, extreme betas are warnings. A forecast is
+    stale if its latest day, taken at midnight, lies more than ``stale_after_hours``
+    before the moment ``as_of``.
     """
-    oldest_fresh = F.date_sub(as_date(as_of), params.stale_after_days)
+    oldest_fresh = as_time(as_of) - F.make_dt_interval(hours=F.lit(params.stale_after_hours))
     return forecast.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("predicted_drift").isNull()).alias("null_predictions"),
@@ -145,9 +147,9 @@ def quality_gate(
         F.max("date").alias("latest_date"),
     ).select(
         "*",
-        F.coalesce(F.col("latest_date") < oldest_fresh, F.lit(True)).alias("stale"),
+        F.coalesce(F.col("latest_date").cast("timestamp") < oldest_fresh, F.lit(True)).alias("stale"),
         (
             (F.col("null_predictions") == 0)
-            & F.coalesce(F.col("latest_date") >= oldest_fresh, F.lit(False))
+            & F.coalesce(F.col("latest_date").cast("timestamp") >= oldest_fresh, F.lit(False))
         ).alias("passed"),
     )

@@ -93,9 +93,8 @@ def cumulative_return(returns: DataFrame, params: RiskParams = DEFAULTS) -> Data
 
 def market_returns(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     """The market's own series: (date, mkt_return), one row per date."""
-    return returns.filter(F.col("ticker") == params.market).select(
-        "date", F.col("daily_return").alias("mkt_return")
-    )
+    market = returns.filter(F.col("ticker") == params.market)
+    return market.groupBy("date").agg(F.max("daily_return").alias("mkt_return"))
 
 
 def _pair_sums(*partition: str, params: RiskParams) -> dict[str, Column]:

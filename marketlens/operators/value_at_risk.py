@@ -159,7 +159,9 @@ def var_summary(
         _signed(_historical(params), params).alias("historical_var"),
         _signed(_parametric(params), params).alias("parametric_var"),
     )
-    label = f"{params.confidence * 100:g}%% Daily VaR: %.2f%% (Historical)"
+    label = f"{params.confidence * 100:g}%% Daily VaR: %s%% (Historical)"
+    # a decimal with its last places settled, so that ties go up in every engine
+    percent = F.round(F.round(F.abs("historical_var") * 100, 8).cast("decimal(28,8)"), 2)
     return _simulate(per_ticker, params).select(
         "ticker",
         (F.current_timestamp() if timestamp is None else timestamp.cast("timestamp")).alias(
@@ -168,7 +170,7 @@ def var_summary(
         "historical_var",
         "parametric_var",
         _signed(F.col("monte_carlo"), params).alias("monte_carlo_var"),
-        F.format_string(label, F.abs("historical_var") * 100).alias("display_text"),
+        F.format_string(label, percent.cast("string")).alias("display_text"),
     )
 
 

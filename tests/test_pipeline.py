@@ -10,7 +10,7 @@ from marketlens.operators import features, forest, prices, series
 from marketlens.params import RiskParams
 from marketlens.plans import pipeline
 from marketlens.plans.views import register_lake
-from marketlens.sources import tables
+from marketlens.sources import tables, watchlist as wl
 from marketlens.sources.lineitem_bars import bars_from_lineitem
 from marketlens.streaming.ingest import stream_landed
 
@@ -113,11 +113,14 @@ def test_reports_have_rows(two_runs):
     _, _, reports = two_runs
     assert set(reports) == {
         "stock_risk_panel", "stock_panic_panel", "panic_periods", "correlation_matrix",
-        "latest_regime", "risk_matrix", "quality_gate", "forecast_panel",
+        "latest_regime", "risk_matrix", "quality_gate", "forecast_panel", "feature_importance",
     }
     for name, df in reports.items():
         assert df.count() > 0, name
-    assert reports["correlation_matrix"].count() == 100
+    names = len(wl.category(wl.DEFAULT_WATCHLIST, wl.UNIVERSE))
+    assert reports["correlation_matrix"].count() == names * (names + 1) // 2
+    weights = [r.importance for r in reports["feature_importance"].collect()]
+    assert len(weights) == 4 and sum(weights) == pytest.approx(1.0)
     assert reports["latest_regime"].count() == 1
     assert reports["quality_gate"].first().null_predictions == 0
 

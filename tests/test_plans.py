@@ -1,9 +1,11 @@
 """What the physical plans must and must not contain."""
 
+import datetime as dt
 import re
 
 import pytest
 
+from marketlens import schemas
 from marketlens.operators import prices, series, value_at_risk as var
 from marketlens.operators import features
 from marketlens.sources import landing, tables
@@ -51,6 +53,29 @@ def test_recent_returns_cut_history_before_the_shuffle(clean):
     assert "WindowGroupLimit" in text[shuffle:] and "Partial" in text[shuffle:]
 
 
+def test_upsert_reads_each_side_once(spark, sf_dir):
+    from marketlens.plans import queries as q
+
+    text = plan(q.registry()["silver_risk_features_merge"](spark, sf_dir))
+    # bars and the market's bars, for either side; the newest date is read from another column alone
+    assert len(re.findall(r"ReadSchema: struct<[^>]*l_suppkey", text)) == 4
+
+
+def test_back_fill_computes_beta_once(spark, sf_dir):
+    from marketlens.plans import queries as q
+
+    text = plan(q.registry()["inference_backfill_forward"](spark, sf_dir))
+    # the bars and the market's, for the panel and, of the panel again, for the betas
+    assert len(re.findall(r"ReadSchema: struct<[^>]*l_suppkey", text)) <= 4
+
+
+def test_risk_matrix_has_no_constant_key(spark, sf_dir):
+    from marketlens.plans import queries as q
+
+    text = plan(q.registry()["risk_matrix"](spark, sf_dir))
+    assert "hashpartitioning(0," not in text and "windowspecdefinition(0," not in text
+
+
 def test_date_range_reaches_the_scan(spark, sf_dir):
     bars = landing.scan_bars(bars_from_lineitem(spark, sf_dir), None, "1997-01-01", "1998-01-01")
     bars.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 2000)
@@ -59,7 +84,9 @@ def test_date_range_reaches_the_scan(spark, sf_dir):
 
 
 def test_market_series_reach_the_scan_of_stored_bars(spark, tmp_path):
-    tables.create_tables(spark, str(tmp_path))
+    day = dt.date(2024, 1, 2)
+    row = (1, "A", day, 1.0, 1.0, 1.0, 1.0, 1.0, 1, dt.datetime(2024, 1, 2))
+    tables.append(spark.createDataFrame([row], schemas.BRONZE_BARS), str(tmp_path), "bronze_price_history")
     bars = tables.read(spark, str(tmp_path), "bronze_price_history")
     returns = series.daily_returns(prices.clean_prices(bars))
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
