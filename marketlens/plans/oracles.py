@@ -267,6 +267,13 @@ _BODIES: dict[str, str] = {
     "watchlist_filter": f"SELECT date, ticker, {_r('adj_close')}, volume FROM clean WHERE ticker IN ({_strings(UNIVERSE)})",
     "bronze_landing_scan": f"SELECT id, {_BAR} FROM bars WHERE date >= DATE '1997-01-01' AND date < DATE '2000-01-01' AND ticker IN ({_strings(wl.ingest_set(watchlist=wl.DEFAULT_WATCHLIST))})",
     "bronze_wide_to_long": f"SELECT {_BAR} FROM newest WHERE ticker IN ({_strings(SYMBOLS)})",
+    "bronze_numbering": """
+        SELECT ticker, count(*) AS bars, count(*) AS ids, true AS above_the_batch_before
+        FROM bars GROUP BY ticker""",
+    "views_in_sql": f"""
+        SELECT ticker, count(*) AS days, {_r('max(annualized_volatility_30d)', 'highest_volatility')},
+               {_r('min(beta_30d)', 'lowest_beta')}, {_r('max(ln(adj_close))', 'highest_log_price')}
+        FROM panel GROUP BY ticker""",
     "bronze_dedup": f"SELECT id, {_BAR} FROM newest",
     "archive_rows": f"SELECT id, {_BAR} FROM bars WHERE date < (SELECT d - 1095 FROM today)",
     "retained_rows": f"SELECT id, {_BAR} FROM bars WHERE date >= (SELECT d - 1095 FROM today)",

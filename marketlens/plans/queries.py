@@ -20,6 +20,8 @@ from marketlens.operators import (
 )
 from marketlens.operators.correlation import correlation_matrix
 from marketlens.params import RiskParams
+from marketlens import schemas
+from marketlens.plans.views import register_views
 from marketlens.sources import landing, watchlist as wl
 from marketlens.sources.lineitem_bars import SYMBOLS, bars_from_lineitem
 
@@ -183,6 +185,37 @@ def bronze_wide_to_long(spark, sf_dir):
     return landing.wide_to_long(wide)
 
 
+@_query
+def bronze_numbering(spark, sf_dir):
+    """Landed bars with ids above a batch before them: per ticker all of them, each with an id of its own."""
+    after = 1_000
+    landed = bars_from_lineitem(spark, sf_dir).select(*schemas.LANDED_BARS.fieldNames())
+    return (
+        landing.with_bar_ids(landed, after)
+        .groupBy("ticker")
+        .agg(
+            F.count("*").alias("bars"),
+            F.count_distinct("id").alias("ids"),
+            (F.min("id") > after).alias("above_the_batch_before"),
+        )
+    )
+
+
+@_query
+def views_in_sql(spark, sf_dir):
+    """The layer's views, asked in SQL."""
+    register_views(spark, bars_from_lineitem(spark, sf_dir))
+    return spark.sql(
+        """
+        SELECT v.ticker, count(*) AS days, max(annualized_volatility_30d) AS highest_volatility,
+               min(beta_30d) AS lowest_beta, max(safe_ln(r.adj_close)) AS highest_log_price
+        FROM silver_rolling_volatility v
+        JOIN gold_rolling_beta_30d b ON v.date = b.date AND v.ticker = b.ticker
+        JOIN silver_returns r ON r.date = v.date AND r.ticker = v.ticker
+        GROUP BY v.ticker"""
+    )
+
+
 @_query
 def bronze_dedup(spark, sf_dir):
     """The newest bar of every (date, ticker), whole."""
