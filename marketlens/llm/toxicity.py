@@ -86,17 +86,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, prior: float) -> Model:
     if not len(labels) or labels.min() == labels.max():
         return Model(flat, float(odds))
     y = labels.astype(np.float64)
-    size = np.array([len(x) for x in rows])
-    feature = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
-    toxic = np.bincount(feature, y[row], BUCKETS)
-    every = np.bincount(feature, minlength=BUCKETS)
+    toxic, every = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for x, label in zip(rows, y, strict=True):  # a row has a feature once
+        every[x] += 1
+        toxic[x] += label
     p, q = toxic + SMOOTHING, every - toxic + SMOOTHING
     ratio = np.log(p / (y.sum() + SMOOTHING)) - np.log(q / ((1 - y).sum() + SMOOTHING))
     ratio[np.abs(ratio) < LEAST_ERRORS * np.sqrt(1 / p + 1 / q)] = 0
-    used = ratio[feature] != 0
-    feature, row = feature[used], row[used]
-    value = ratio[feature].astype(np.float32)
+    rows = [x[ratio[x] != 0] for x in rows]
+    feature = np.concatenate(rows).astype(np.int64)
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    value = ratio[feature]
 
     # full-batch Adam; the curvature of the scaled features differs by orders of magnitude
     w, b = np.zeros(BUCKETS), 0.0
