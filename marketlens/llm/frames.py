@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Text that a task turns into arrays at once. A single longer text is one piece of its own.
 PIECE_BYTES = 1 << 20
+_STORED: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +32,35 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the same folder as `cut` uses, deleted when the application ends.
+
+    For rows that go through many joins, one after another: unlike a checkpoint the table carries nothing over from the
+    plan that made it. (What the optimizer infers about columns grows by each join, and a checkpoint keeps it.)
+    """
+    spark = frame.sparkSession
+    path = f"{_folder(spark).rstrip('/')}/marketlens-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    _STORED.append((spark, path))
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+@atexit.register
+def _delete_stored() -> None:
+    for spark, path in _STORED:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The frame, written to the shared folder of `spark.checkpoint.dir`, so that a lost executor costs no recomputation
     and rows are the same each time they are read. Only a local session without that setting gets a folder of its own."""
-    spark = frame.sparkSession
+    _folder(frame.sparkSession)
+    return frame.checkpoint(eager=True)
+
+
+def _folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
@@ -40,7 +69,7 @@ def cut(frame: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir names no folder that all executors share")
             named = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
         context.setCheckpointDir(named)
-    return frame.checkpoint(eager=True)
+    return context.getCheckpointDir()
 
 
 def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
