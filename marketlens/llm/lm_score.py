@@ -5,26 +5,26 @@ goes into the filter once with each level up to its own. Reading a count is a se
 first level that is not there, so a false positive can only raise a count, and ever less likely by more. Probabilities
 are bigram estimates mixed with unigram ones.
 
-The filter is made of segments, one for each range of hashes; the task that counts the n-grams of a range also fills its
-segment. The whole filter has FILTER_BYTES at most and is sent to every worker. Where the counted n-grams need more than
-that at BITS a level, those of the lowest levels are left to the smoothing: the model is as large as the memory it was
-given, like a vocabulary. Counting itself covers all texts at any size.
+The filter is made of segments, one for each range of hashes, and has BITS for each level of every n-gram, so it grows with
+the texts. Up to FILTER_BYTES it is sent to every worker. A larger one stays where it is counted: pieces of text send the
+n-grams they hold to the tasks that have the segments, and the levels come back to the piece. Scores are the same either way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import as_bytes, cut, mixed, pieces
+from .frames import as_bytes, cut, mixed, pieces, stored
 from .words import pair_hash, word_hashes
 
-#: The filter's largest size, its bits for each level of an n-gram, and the probes of a level.
+#: Size up to which the filter is sent to every worker, its bits for each level of an n-gram, and the probes of a level.
 FILTER_BYTES, BITS, PROBES = 48 << 20, 10, 4
 #: Pairs that occur less often are left to the smoothing.
 LEAST_PAIRS = 2
@@ -167,29 +167,85 @@ def count_ngrams(texts: DataFrame, n_ranges: int) -> DataFrame:
 
 
 def lowest_level(by_level: np.ndarray) -> int:
-    """The lowest level whose n-grams still fit into the filter together with all higher ones."""
+    """The lowest level whose n-grams still fit into FILTER_BYTES together with all higher ones: 1 if the whole filter does."""
     weight = by_level * np.arange(len(by_level)) * BITS
     fits = np.cumsum(weight[::-1])[::-1] <= FILTER_BYTES * 8
     return max(1, int(np.argmax(fits)))
 
 
-def fill_filter(counted: DataFrame, lowest: int) -> tuple[bytes, np.ndarray]:
+def segment_of(group: pa.Table) -> bytes:
+    """The segment of a range from its rows of `count_ngrams`."""
+    hashes, counts = unpacked(group["hashes"], np.uint64), unpacked(group["counts"], np.int64)
+    return segment(hashes, levels_of(counts))
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
+
+
+def fill_filter(counted: DataFrame, n_ranges: int) -> tuple[bytes, np.ndarray]:
     """The filter's bits and the bytes of each segment."""
 
     def fill(group: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()])
-        levels = levels_of(np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()]))
-        held = levels >= lowest
         index = pa.array([group["range"][0].as_py()], pa.int32())
-        return pa.table({"range": index, "bits": pa.array([segment(hashes[held], levels[held])], pa.binary())})
+        return pa.table({"range": index, "bits": pa.array([segment_of(group)], pa.binary())})
 
     rows = counted.groupBy("range").applyInArrow(fill, "range int, bits binary").orderBy("range").collect()
-    n = rows[-1]["range"] + 1 if rows else 0
     bits = {r["range"]: r["bits"] for r in rows}
-    parts = [bytes(bits.get(i, b"\0")) for i in range(n)]
+    parts = [bytes(bits.get(i, b"\0")) for i in range(n_ranges)]
     return b"".join(parts), np.array([len(x) for x in parts], np.int64)
 
 
+def numbered_pieces(docs: DataFrame, text: str) -> DataFrame:
+    """The rows with the number of the piece of text they are in, the same each time they are read."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        for k, part in enumerate(part for batch in batches for part in pieces(batch, text, TOGETHER)):
+            piece = pa.array(np.full(part.num_rows, first + k))
+            yield pa.RecordBatch.from_arrays([*part.columns, piece], names=[*part.schema.names, "__piece"])
+
+    return stored(docs.mapInArrow(number, T.StructType([*docs.schema, T.StructField("__piece", T.LongType())])))
+
+
+def levels_of_pieces(held: DataFrame, text: str, counted: DataFrame, n_ranges: int) -> DataFrame:
+    """(__piece, hashes, levels): what the filter says of the n-grams of each piece, read where its segments are filled."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            piece = batch.column("__piece").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                tokens, pairs, _ = token_hashes(*as_bytes(batch.slice(a, b - a).column(text)))
+                found = np.unique(np.concatenate([tokens, pairs]))
+                stops = np.searchsorted(ranges_of(found, n_ranges), np.arange(n_ranges + 1)).tolist()
+                spans = [(i, x, y) for i, (x, y) in enumerate(zip(stops[:-1], stops[1:], strict=True)) if y > x]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(piece[a])] * len(spans), pa.int64()),
+                        pa.array([i for i, _, _ in spans], pa.int32()),
+                        pa.array([found[x:y].tobytes() for _, x, y in spans], pa.binary()),
+                    ],
+                    names=["__piece", "range", "hashes"],
+                )
+
+    def answer(grams: pa.Table, asked: pa.Table) -> pa.Table:
+        bits = segment_of(grams)
+        bloom = Filter(bits, np.array([len(bits)]))
+        levels = [bloom.levels(np.frombuffer(x, np.uint64)).astype(np.uint8).tobytes() for x in asked["hashes"].to_pylist()]
+        return pa.table({"__piece": asked["__piece"], "hashes": asked["hashes"], "levels": pa.array(levels, pa.binary())})
+
+    asked = held.select("__piece", text).mapInArrow(ask, "__piece long, range int, hashes binary")
+    return (
+        counted.select("range", "hashes", "counts")
+        .groupBy("range")
+        .cogroup(asked.groupBy("range"))
+        .applyInArrow(answer, "__piece long, hashes binary, levels binary")
+    )
+
+
 def frequent_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, ascending, and exact counts of the FREQUENT most frequent words."""
     words = counted.filter("order = 1").mapInArrow(_unpacked, "hash long, n long")
@@ -231,51 +287,60 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
     by_level = np.zeros(64, np.int64)
     for r in levels:
         by_level[r["level"]] = r["n"]
-    bits, sizes = fill_filter(counted, lowest_level(by_level))  # FILTER_BYTES and a byte for each segment
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((bits, sizes, *frequent_words(counted)))
+    small = lowest_level(by_level) == 1
+    shared = context.broadcast((*(fill_filter(counted, n_ranges) if small else (b"", np.zeros(0, np.int64))), *frequent_words(counted)))
     per_token = float(np.log10(total + distinct + 1))
     starts = float(size["d"])
 
+    def scored(part: pa.RecordBatch | pa.Table, levels: Callable[[np.ndarray], np.ndarray], known: np.ndarray, times: np.ndarray) -> list[pa.Array]:
+        """The kept columns and the `inner` ones of some rows."""
+        texts = part.column(text)
+        tokens, pairs, n = token_hashes(*as_bytes(texts))
+        owner = np.repeat(np.arange(len(n)), n)
+        distinct, at = np.unique(tokens, return_inverse=True)
+        # what the filter says
+        single = count_of(levels(distinct))
+        prior = (single + 1) / (total + distinct_total + 1)
+        before = np.empty(len(tokens))
+        before[1:] = single[at[:-1]]
+        stop = np.cumsum(n)
+        before[stop - n] = starts
+        pair = np.minimum(count_of(levels(pairs)), before)
+        share = np.where(before > 0, PAIR_SHARE, 0.0)
+        log = np.log10(share * pair / np.maximum(before, 1) + (1 - share) * prior[at])
+        score = np.bincount(owner, log, len(n))
+        # exact counts, as far as they are here
+        where = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
+        frequent = known[where] == distinct if len(known) else np.zeros(len(distinct), bool)
+        count = np.where(frequent, times[where], 0) if len(known) else np.zeros(len(distinct), np.int64)
+        exact = np.bincount(owner, np.log10(count + 1.0)[at], len(n))
+        sure = np.bincount(owner, frequent[at], len(n)).astype(np.int64)
+        rare = np.flatnonzero(~frequent[at])
+        stops = np.searchsorted(owner[rare], np.arange(len(n) + 1))
+        offsets = pa.array(stops, pa.int32())
+        return [
+            *(part.column(c) for c in kept),
+            pa.array(n, pa.int64()),
+            pa.array(sure, pa.int64()),
+            pa.array(exact),
+            pa.array(score),
+            pa.ListArray.from_arrays(offsets, pa.array(tokens[rare].view(np.int64))),
+        ]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sizes, known, times = shared.value
         bloom = Filter(held, sizes)
         for batch in batches:
             for part in pieces(batch, text, TOGETHER):
-                tokens, pairs, n = token_hashes(*as_bytes(part.column(text)))
-                owner = np.repeat(np.arange(len(n)), n)
-                distinct, at = np.unique(tokens, return_inverse=True)
-                # what the filter says
-                single = count_of(bloom.levels(distinct))
-                prior = (single + 1) / (total + distinct_total + 1)
-                before = np.empty(len(tokens))
-                before[1:] = single[at[:-1]]
-                stop = np.cumsum(n)
-                before[stop - n] = starts
-                pair = np.minimum(count_of(bloom.levels(pairs)), before)
-                share = np.where(before > 0, PAIR_SHARE, 0.0)
-                log = np.log10(share * pair / np.maximum(before, 1) + (1 - share) * prior[at])
-                score = np.bincount(owner, log, len(n))
-                # exact counts, as far as they are here
-                where = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
-                frequent = known[where] == distinct if len(known) else np.zeros(len(distinct), bool)
-                count = np.where(frequent, times[where], 0) if len(known) else np.zeros(len(distinct), np.int64)
-                exact = np.bincount(owner, np.log10(count + 1.0)[at], len(n))
-                sure = np.bincount(owner, frequent[at], len(n)).astype(np.int64)
-                rare = np.flatnonzero(~frequent[at])
-                stops = np.searchsorted(owner[rare], np.arange(len(n) + 1))
-                offsets = pa.array(stops, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept]
-                    + [
-                        pa.array(n, pa.int64()),
-                        pa.array(sure, pa.int64()),
-                        pa.array(exact),
-                        pa.array(score),
-                        pa.ListArray.from_arrays(offsets, pa.array(tokens[rare].view(np.int64))),
-                    ],
-                    names=[*kept, *inner],
-                )
+                yield pa.RecordBatch.from_arrays(scored(part, bloom.levels, known, times), names=[*kept, *inner])
+
+    def read_piece(rows: pa.Table, told: pa.Table) -> pa.Table:
+        _, _, known, times = shared.value
+        hashes, first = np.unique(unpacked(told["hashes"], np.uint64), return_index=True)
+        levels = unpacked(told["levels"], np.uint8)[first].astype(np.int64)
+        part = rows.combine_chunks().to_batches()[0]
+        return pa.table(scored(part, lambda of: levels[np.searchsorted(hashes, of)], known, times), names=[*kept, *inner])
 
     distinct_total = distinct
     inner = ["__tokens", "__sure", "__exact", "__score", "__rare"]
@@ -284,7 +349,13 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
         [docs.schema[c] for c in kept]
         + list(T.StructType.fromDDL("__tokens long, __sure long, __exact double, __score double, __rare array<long>"))
     )
-    first = cut(needed.mapInArrow(read, schema).withColumn("__row", F.monotonically_increasing_id()))
+    if small:
+        told = needed.mapInArrow(read, schema)
+    else:
+        held = numbered_pieces(needed, text)
+        answers = levels_of_pieces(held, text, counted, n_ranges)
+        told = held.groupBy("__piece").cogroup(answers.groupBy("__piece")).applyInArrow(read_piece, schema)
+    first = cut(told.withColumn("__row", F.monotonically_increasing_id()))
     words = counted.filter("order = 1").mapInArrow(_unpacked, "hash long, n long")
     rare = first.select("__row", F.explode("__rare").alias("hash")).groupBy("hash", "__row").agg(F.count("*").alias("times"))
     found = (
