@@ -26,8 +26,6 @@ from .words import pair_hash, word_hashes
 
 #: Size up to which the filter is sent to every worker, its bits for each level of an n-gram, and the probes of a level.
 FILTER_BYTES, BITS, PROBES = 48 << 20, 10, 4
-#: Pairs that occur less often are left to the smoothing.
-LEAST_PAIRS = 2
 #: Share of the bigram estimate in a probability; none after a word that the filter does not hold.
 PAIR_SHARE = 0.3
 #: Words whose exact counts are sent to every worker; counts of the others are joined.
@@ -118,8 +116,8 @@ class Filter:
 
 
 def count_ngrams(texts: DataFrame, n_ranges: int) -> DataFrame:
-    """(n_words, hashes, counts, order) for each range of hashes: exact counts of all tokens and of all pairs that occur
-    LEAST_PAIRS times, as packed arrays. Tasks count what they hold before anything is shuffled, so a frequent word is one
+    """(n_words, hashes, counts, order) for each range of hashes: exact counts of all tokens and of all pairs, as packed
+    arrays. Tasks count what they hold before anything is shuffled, so a frequent word is one
     entry of a task, and ranges are even whatever the words."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,14 +144,13 @@ def count_ngrams(texts: DataFrame, n_ranges: int) -> DataFrame:
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in group["counts"].to_pylist()])
         found, inverse = np.unique(hashes, return_inverse=True)
         total = np.bincount(inverse, counts).astype(np.int64)
-        keep = total >= (LEAST_PAIRS if order == 2 else 1)
-        sizes = np.bincount(levels_of(total[keep]), minlength=64).astype(np.int64)
+        sizes = np.bincount(levels_of(total), minlength=64).astype(np.int64)
         return pa.table(
             {
                 "range": pa.array([index], pa.int32()),
                 "order": pa.array([order], pa.int32()),
-                "hashes": pa.array([found[keep].tobytes()], pa.binary()),
-                "counts": pa.array([total[keep].tobytes()], pa.binary()),
+                "hashes": pa.array([found.tobytes()], pa.binary()),
+                "counts": pa.array([total.tobytes()], pa.binary()),
                 "tokens": [int(total.sum())],
                 "distinct": [len(found)],
                 "by_level": pa.array([sizes.tolist()], pa.list_(pa.int64())),

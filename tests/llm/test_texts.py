@@ -135,6 +135,12 @@ def test_scores_do_not_depend_on_what_one_broadcast_holds(spark, odd_docs, monke
             assert rows() == whole
 
 
+def test_a_pair_that_occurs_once_counts(spark):
+    docs = frame_of(spark, ["x y", "p q", "x y", "x q", "p y"])
+    score = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs, F.col("doc_id") < 2).collect()}
+    assert score[2] > score[3] and score[2] > score[4]
+
+
 def test_odd_rows_of_scores(odd_docs, no_docs):
     for training in (F.lit(True), F.lit(False)):
         rows = lm_score.score_documents(odd_docs, training).collect()
