@@ -2,27 +2,28 @@
 
 Time is a row of slots, and each slot takes one block of documents of one source. With weight w the k-th block of a source
 (from 0) is released at floor(k / w) and due by ceil((k + 1) / w); the released block that is due first gets the slot.
-Weights are whole multiples of 1 / PERIOD that add up to 1, so every block meets its window: at every point of the mixture
+The period is the mixture itself: a source has a whole number of blocks in it, its target up to less than one block, and
+weights are these numbers over their sum. They add up to 1, so every block meets its window: at every point of the mixture
 each source is less than one block away from its share.
 
-Windows repeat after PERIOD slots. So one period is scheduled, at a cost that does not grow with the data, and the slot of
-any block follows from it by arithmetic; documents are numbered and placed in parallel.
+Where the numbers have a common divisor windows repeat, and only one round of them is scheduled. The schedule is eight bytes
+a block, on the driver and in a broadcast; documents are numbered and placed in parallel.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .frames import cut
 
-#: Slots after which the schedule repeats; weights are rounded to this part, and there are no more sources.
-PERIOD = 4_096
 #: Documents of a block.
 BLOCK = 8
 #: Exponent that turns the sizes of sources into weights if none are given: 1 keeps their shares, 0 makes them equal.
@@ -35,38 +36,56 @@ BUCKET_ROWS = 8_192
 COPIES = 1_024
 
 
-def shares(weights: np.ndarray, period: int = PERIOD) -> np.ndarray:
-    """Slots of each source in a period: the weights rounded by largest remainders, one at least."""
-    if len(weights) > period:
-        raise ValueError(f"{len(weights)} sources; a period has {period} slots")
-    exact = weights / weights.sum() * (period - len(weights))
-    slots = np.floor(exact).astype(np.int64)
-    rest = period - len(weights) - int(slots.sum())
-    slots[np.argsort(-(exact - slots), kind="stable")[:rest]] += 1
-    return slots + 1
+def shares(weights: np.ndarray, period: int, least: np.ndarray | int = 1) -> np.ndarray:
+    """Slots of each source in a period: the weights rounded by largest remainders, and so many at least."""
+    exact = weights / weights.sum() * period
+    slots = np.maximum(np.floor(exact).astype(np.int64), least)
+    rest = period - int(slots.sum())
+    if rest > 0:
+        slots[np.argsort(-(exact - slots), kind="stable")[:rest]] += 1
+    else:
+        slots[np.argmax(slots)] += rest
+    if slots.min() < 1 or slots.sum() != period:
+        raise ValueError(f"{period} slots are too few for {len(weights)} sources")
+    return slots
+
+
+def least_period(weights: np.ndarray, blocks: np.ndarray) -> int:
+    """The fewest slots that hold so many blocks of each source and leave each less than one block off its weight."""
+    share = weights / weights.sum()
+    low, high = int(blocks.sum()) - 1, max(int(blocks.sum()), int(np.ceil((blocks / share).max())) + 1)
+    while high - low > 1:
+        middle = (low + high) // 2
+        exact = share * middle
+        if (np.ceil(exact) >= blocks).all() and np.maximum(np.floor(exact), blocks).sum() <= middle:
+            high = middle
+        else:
+            low = middle
+    return high
 
 
 def schedule(slots: np.ndarray) -> list[np.ndarray]:
     """For each source the slots of its blocks in one period: of the released blocks the one that is due first."""
-    period = int(slots.sum())
-    due = lambda i, k: -(-(k + 1) * period // int(slots[i]))
-    waiting = [(0, i, 0) for i in range(len(slots))]
+    size = slots.tolist()
+    period = sum(size)
+    first = (np.cumsum(slots) - slots).tolist()
+    waiting = [(0, i, 0) for i in range(len(size))]
     ready: list[tuple[int, int, int]] = []
-    out = [np.zeros(s, np.int64) for s in slots]
+    out = np.zeros(period, np.int64)
     for now in range(period):
         while waiting and waiting[0][0] <= now:
             _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(i, k), i, k))
+            heapq.heappush(ready, (-(-(k + 1) * period // size[i]), i, k))
         _, i, k = heapq.heappop(ready)
-        out[i][k] = now
-        if k + 1 < slots[i]:
-            heapq.heappush(waiting, ((k + 1) * period // int(slots[i]), i, k + 1))
-    return out
+        out[first[i] + k] = now
+        if k + 1 < size[i]:
+            heapq.heappush(waiting, ((k + 1) * period // size[i], i, k + 1))
+    return np.split(out, first[1:])
 
 
 @dataclass
 class Plan:
-    """What the mixture does with each source: its slots in a period, when its blocks come, its documents and places."""
+    """What the mixture does with each source: its slots in a round, when its blocks come, its documents and places."""
 
     sources: list[str]
     slots: np.ndarray
@@ -75,17 +94,15 @@ class Plan:
     places: np.ndarray
 
 
-def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block: int, most_epochs: float, period: int = PERIOD) -> Plan:
+def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block: int, most_epochs: float) -> Plan:
     """As many slots as it takes for every document to come up once."""
     share = weights / weights.sum()
     epochs = np.minimum(share * (documents / share).max() / documents, most_epochs)
-    slots = shares(epochs * documents, period)
-    times = schedule(slots)
+    target = epochs * documents
     blocks = -(-documents // block)
-    last = [int((b - 1) // s) * period + int(t[(b - 1) % s]) for b, s, t in zip(blocks, slots, times, strict=True)]
-    end = max(last) + 1
-    given = np.array([end // period * int(s) + int((t < end % period).sum()) for s, t in zip(slots, times, strict=True)])
-    return Plan(sources, slots, times, documents, given * block)
+    blocks_given = shares(target, least_period(target, blocks), blocks)
+    slots = blocks_given // np.gcd.reduce(blocks_given)
+    return Plan(sources, slots, schedule(slots), documents, blocks_given * block)
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str | None = "text") -> DataFrame:
@@ -106,7 +123,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     )
     # copies of a row are reduced to a count before they are shuffled
     rows = cut(rows.groupBy("src", "doc_id", "key").agg(F.count("*").alias("copies")))
-    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.sum("copies").alias("n")).limit(PERIOD + 1).collect()}
+    sizes = {r["src"]: r["n"] for r in rows.groupBy("src").agg(F.sum("copies").alias("n")).collect()}
     if weights is None:
         wanted = {s: float(n) ** TEMPERATURE for s, n in sizes.items()}
     else:
@@ -117,13 +134,17 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     if not sources:
         return spark.createDataFrame([], columns)
     p = plan(sources, np.array([sizes[s] for s in sources]), np.array([wanted[s] for s in sources]), block, MOST_EPOCHS)
+    first = np.cumsum(p.slots) - p.slots
     per_source = spark.createDataFrame(
-        [(s, int(k), int(n), int(m)) for s, k, n, m in zip(sources, p.slots, p.documents, p.places, strict=True)],
-        "src string, slots long, documents long, places long",
-    )
-    per_block = spark.createDataFrame(
-        [(s, k, int(t)) for s, times in zip(sources, p.times, strict=True) for k, t in enumerate(times)], "src string, in_period long, time long"
+        [(s, int(k), int(f), int(n), int(m)) for s, k, f, n, m in zip(sources, p.slots, first, p.documents, p.places, strict=True)],
+        "src string, slots long, first long, documents long, places long",
     )
+    times = spark.sparkContext.broadcast(np.concatenate(p.times))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            time = pa.array(times.value[batch.column("nth_of_all").to_numpy()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, time], names=[*batch.schema.names, "time"])
 
     # numbers within each source: those of the buckets before, then those in the bucket
     n_buckets = max(1, -(-sum(sizes.values()) // BUCKET_ROWS))
@@ -140,15 +161,19 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
         .select("src", "doc_id", "key", (F.col("number") + F.col("copy")).alias("number"))
     )
     period = int(p.slots.sum())
+    last = F.floor((F.col("places") - 1 - F.col("number")) / F.col("documents"))
     places = (
-        numbered.join(F.broadcast(per_source), "src")  # PERIOD rows at most
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("places") - 1 - F.col("number")) / F.col("documents")))).alias("epoch"))
+        numbered.join(F.broadcast(per_source), "src")  # a row per source
+        .select("*", last.alias("last"))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), "last", F.lit(COPIES).cast("long"))).alias("some"))
+        .select("*", F.explode(F.sequence("some", F.least(F.col("some") + COPIES - 1, "last"))).alias("epoch"))
         .withColumn("place", F.col("epoch") * F.col("documents") + F.col("number"))
         .withColumn("nth", F.floor(F.col("place") / block))
-        .withColumn("in_period", F.col("nth") % F.col("slots"))
-        .join(F.broadcast(per_block), ["src", "in_period"])  # PERIOD rows
-        .withColumn("slot", F.floor(F.col("nth") / F.col("slots")) * period + F.col("time"))
+        .withColumn("nth_of_all", F.col("first") + F.col("nth") % F.col("slots"))
+        .select("src", "doc_id", "key", "epoch", "place", "nth_of_all", F.floor(F.col("nth") / F.col("slots")).alias("round"))
     )
+    timed = places.mapInArrow(look_up, T.StructType([*places.schema, T.StructField("time", T.LongType())]))
+    places = timed.withColumn("slot", F.col("round") * period + F.col("time"))
     return places.select(
         (F.col("slot") * block + F.col("place") % block).alias("position"),
         "slot",

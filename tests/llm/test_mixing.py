@@ -21,6 +21,24 @@ def test_every_block_meets_its_window(weights):
         assert (abs(given - np.arange(period + 1) * s / period) < 1).all()
 
 
+@pytest.mark.parametrize("sizes", [[1_000_000, 1], [2_000] + [1] * 2_000, [60_000] + [9] * 5_000, [50, 7, 1, 1], [30_000, 20_001, 3]])
+@pytest.mark.parametrize("power", [0.7, 1.0])
+def test_every_source_is_less_than_a_block_off_its_target(sizes, power):
+    documents = np.array(sizes)
+    weights = documents**power
+    made = mixing.plan([str(i) for i in range(len(sizes))], documents, weights, 8, 1e9)
+    assert (made.places >= documents).all()
+    assert (abs(made.places - made.places.sum() * weights / weights.sum()) < 8).all()
+    assert sorted(t for own in made.times for t in own) == list(range(made.slots.sum()))
+
+
+def test_more_sources_than_a_fixed_period_holds(spark):
+    docs = spark.range(10_000).select(F.col("id").alias("doc_id"), F.least("id", F.lit(5_000)).cast("string").alias("source"), F.lit("t").alias("text"))
+    rows = mixing.mix(docs, {str(i): 1.0 if i < 5_000 else 5_000.0 for i in range(5_001)}, block=1).collect()
+    assert sorted(r["position"] for r in rows) == list(range(len(rows)))
+    assert Counter(r["source"] for r in rows)["5000"] == len(rows) // 2 == 5_000
+
+
 def test_mixture_of_documents(documents):
     rows = mixing.mix(documents).orderBy("position").collect()
     assert [r["position"] for r in rows] == list(range(len(rows)))
