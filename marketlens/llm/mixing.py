@@ -13,6 +13,7 @@ a block, on the driver and in a broadcast; documents are numbered and placed in
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -28,8 +29,8 @@ from .frames import cut
 BLOCK = 8
 #: Exponent that turns the sizes of sources into weights if none are given: 1 keeps their shares, 0 makes them equal.
 TEMPERATURE = 0.7
-#: How often a document comes up at most; a source that would need more gets less than its weight.
-MOST_EPOCHS = 4
+#: How often a document comes up at most, if the caller says nothing else: as often as the weights need.
+MOST_EPOCHS = math.inf
 #: Documents that are numbered together in a task, about.
 BUCKET_ROWS = 8_192
 #: Copies of a repeated row that are spelled out at once.
@@ -105,17 +106,20 @@ def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block:
     return Plan(sources, slots, schedule(slots), documents, blocks_given * block)
 
 
-def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str | None = "text") -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str | None = "text", most_epochs: float = MOST_EPOCHS) -> DataFrame:
     """(position, slot, epoch, source, doc_id, key) of every place in the mixture; positions run from 0 without a gap.
 
     Each source's documents come in the order of a hash, so a source that is done early begins anew: places beyond its
-    documents have epoch 1 and up, and no document comes more often than MOST_EPOCHS asks for, give or take a block.
+    documents have epoch 1 and up, as many as its weight needs. With `most_epochs` no document comes more often than that,
+    give or take a block, and a source that would need more gets less than its weight.
     Sources that `weights` leaves out or gives nothing are left out; weights of absent sources count for nothing; without
     `weights` they follow from TEMPERATURE. A null source is a source of its own, a null id an id. Rows alike in source,
     id and text stand for one document that comes as often as the row is there. An empty table gives an empty mixture.
 
     The key is a hash of the text (of nothing, if `text` is None) that tells documents of one id apart.
     """
+    if not most_epochs >= 1:
+        raise ValueError(f"most_epochs is {most_epochs}; every document comes up once at least")
     spark = docs.sparkSession
     name = F.concat(F.lit("="), F.col(source).cast("string"))
     rows = docs.select(
@@ -133,7 +137,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     columns = "position long, slot long, epoch long, source string, doc_id " + docs.schema[doc_id].dataType.simpleString() + ", key long"
     if not sources:
         return spark.createDataFrame([], columns)
-    p = plan(sources, np.array([sizes[s] for s in sources]), np.array([wanted[s] for s in sources]), block, MOST_EPOCHS)
+    p = plan(sources, np.array([sizes[s] for s in sources]), np.array([wanted[s] for s in sources]), block, most_epochs)
     first = np.cumsum(p.slots) - p.slots
     per_source = spark.createDataFrame(
         [(s, int(k), int(f), int(n), int(m)) for s, k, f, n, m in zip(sources, p.slots, first, p.documents, p.places, strict=True)],
@@ -184,12 +188,12 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     )
 
 
-def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str = "text", most_epochs: float = MOST_EPOCHS) -> DataFrame:
     """The documents themselves in the order of the mixture, each as often as it comes up, with the columns of `docs`.
 
     Of rows alike in source, id and text one stands for all. Written files hold ascending stretches of the mixture.
     """
-    places = mix(docs, weights, block, doc_id, source, text).select(F.col("position").alias("__position"), F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    places = mix(docs, weights, block, doc_id, source, text, most_epochs).select(F.col("position").alias("__position"), F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     one = docs.withColumns({"__k": F.xxhash64(F.col(text))}).dropDuplicates([source, doc_id, "__k"])
     same = one[source].cast("string").eqNullSafe(places["__source"]) & one[doc_id].eqNullSafe(places["__id"]) & (one["__k"] == places["__key"])
     joined = one.join(places, same).select(*docs.columns, "__position")

@@ -69,6 +69,20 @@ def test_a_small_source_is_repeated_no_more_than_allowed(spark):
     assert set(count) == set(range(5)) and max(count.values()) <= mixing.MOST_EPOCHS + 1
 
 
+def test_weights_are_met_unless_epochs_are_limited(spark, monkeypatch):
+    docs = spark.range(2_020).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "small").otherwise("large").alias("source"), F.lit("t").alias("text"))
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = mixing.mix(docs, {"small": 0.5, "large": 0.5}).collect()
+    assert sorted(r["position"] for r in rows) == list(range(len(rows)))
+    count = Counter(r["source"] for r in rows)
+    assert count["large"] >= 2_000 and abs(count["small"] - count["large"]) <= mixing.BLOCK
+    assert set(Counter(r["doc_id"] for r in rows if r["source"] == "small").values()) <= {99, 100}
+    limited = Counter(r["doc_id"] for r in mixing.mix(docs, {"small": 0.5, "large": 0.5}, block=1, most_epochs=4).collect())
+    assert set(limited) == set(range(2_020)) and max(limited.values()) <= 5
+    with pytest.raises(ValueError):
+        mixing.mix(docs, most_epochs=0.5)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     places = mixing.mix(odd_docs, block=1).collect()
     assert sorted(r["position"] for r in places) == list(range(len(places)))
