@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,8 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 #: Labelled rows of each class that the fit looks at, chosen by a hash of the id. Scoring knows no such bound.
 FIT_ROWS = 2_000
-#: Features of those rows at most that are kept for the fit; a row whose features would pass it is the last one taken.
+#: Features of those rows at most that are kept for the fit: rows are taken by turns from the classes while both have some,
+#: and the row whose features pass it is the last one.
 FIT_FEATURES = 24_000_000
 #: A ratio that is not this many standard errors from none counts as none: it is chance, and long texts have much of it.
 LEAST_ERRORS = 3.0
@@ -132,7 +133,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
     picked = [
         known.filter(F.col("low") == k).orderBy(F.xxhash64(doc_id), doc_id).limit(FIT_ROWS) for k in (0, 1)
     ]
-    chosen = picked[0].unionByName(picked[1]).select(F.col(doc_id).alias("chosen_id"), F.col("low").alias("chosen_label"))
+    turn = F.row_number().over(Window.partitionBy("low").orderBy(F.xxhash64(doc_id), doc_id))  # of FIT_ROWS rows
+    chosen = picked[0].unionByName(picked[1]).select(F.col(doc_id).alias("chosen_id"), F.col("low").alias("chosen_label"), turn.alias("turn"))
     some = docs.select(F.col(doc_id).alias("chosen_id"), F.col(text).alias("chosen_text")).join(
         F.broadcast(chosen), "chosen_id"  # 2 * FIT_ROWS ids at most
     )
@@ -142,12 +144,12 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
             for part in pieces(batch, "chosen_text"):
                 found = [x.astype(np.uint32).tobytes() for x in distinct_grams(part.column("chosen_text"))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("chosen_id").cast(pa.string()), part.column("chosen_label").cast(pa.int32()), pa.array(found, pa.binary())],
-                    names=["id", "label", "features"],
+                    [part.column("chosen_id").cast(pa.string()), part.column("chosen_label").cast(pa.int32()), part.column("turn"), pa.array(found, pa.binary())],
+                    names=["id", "label", "turn", "features"],
                 )
 
     got, y, total = [], [], 0
-    taken = some.mapInArrow(rows, "id string, label int, features binary").orderBy(F.xxhash64("id"), "id")
+    taken = some.mapInArrow(rows, "id string, label int, turn int, features binary").orderBy("turn", "label", "id")
     for r in taken.toLocalIterator():
         x = np.frombuffer(r["features"], np.uint32)
         got.append(x)

@@ -28,6 +28,17 @@ def test_toxicity_on_held_out_rows(spark, sf_dir, labels, documents):
     assert (got == want).mean() >= 0.88  # of few labels; see the README for larger tables
 
 
+def test_long_texts_leave_the_fit_both_classes(spark, monkeypatch):
+    ids = [r["id"] for r in spark.range(40).orderBy(F.xxhash64(F.col("id").cast("string"))).collect()]
+    labels = spark.createDataFrame([(i, int(k >= 30)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(50)), lambda k: F.md5((k + F.col("id")).cast("string")))).alias("text"))
+    taken = []
+    monkeypatch.setattr(toxicity, "FIT_FEATURES", 40_000)
+    monkeypatch.setattr(toxicity, "fit", lambda got, y, prior: taken.extend(y.tolist()))
+    toxicity.train(docs, labels, F.lit(True))
+    assert 4 <= len(taken) < 20 and abs(2 * sum(taken) - len(taken)) <= 1
+
+
 def test_language_on_held_out_rows(spark, sf_dir, documents):
     out = op5_language_id(spark, sf_dir)
     rows = out.join(documents.select("doc_id", "lang"), "doc_id").filter("held_out AND lang IS NOT NULL").collect()
