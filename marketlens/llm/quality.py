@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from .frames import as_bytes, mixed, pieces
 
 #: Labelled documents of each class that the fit looks at, chosen by a hash of the id, and the lines that it takes of each
-#: in chains of at most so many lines. Scoring knows no such bounds.
-FIT_ROWS, FIT_LINES = 2_000, 200
+#: in a chain of at most so many lines: stretches of lines, evenly spaced over the text. Scoring knows no such bounds.
+FIT_ROWS, FIT_LINES, STRETCHES = 2_000, 200, 8
 STEPS, RATE, RIDGE = 120, 0.08, 1e-3
 
 _SPACE = np.zeros(256, np.uint8)
@@ -223,11 +223,21 @@ def fit(bins: np.ndarray, size: np.ndarray, lines: np.ndarray, labels: np.ndarra
     return chain
 
 
+def spread(n: int) -> np.ndarray:
+    """Which of n lines the fit takes: all up to FIT_LINES, else STRETCHES of them from the first line to the last."""
+    if n <= FIT_LINES:
+        return np.arange(n)
+    long = FIT_LINES // STRETCHES
+    begin = np.linspace(0, n - long, STRETCHES).astype(np.int64)
+    return (begin[:, None] + np.arange(long)).ravel()
+
+
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Chain:
     """Fit on up to FIT_ROWS labelled documents of each class for which `allowed` (over the id) holds.
 
     Which documents is settled by a hash of their ids. Rows without id or label and ids that have both labels teach
-    nothing; an id that is labelled more than once alike counts once. Lines are described in tasks.
+    nothing; an id that is labelled more than once alike counts once, and of several rows with one id one teaches. Lines are
+    described in tasks.
     """
     known = (
         labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & allowed)
@@ -247,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
             for part in pieces(batch, "chosen_text"):
                 bins, size, lines = line_bins(*as_bytes(part.column("chosen_text")))
                 ends = np.cumsum(lines)
-                spans = [slice(e - k, min(e, e - k + FIT_LINES)) for e, k in zip(ends.tolist(), lines.tolist(), strict=True)]
+                spans = [e - k + spread(k) for e, k in zip(ends.tolist(), lines.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("chosen_id").cast(pa.string()),
@@ -258,8 +268,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
                     names=["id", "label", "bins", "size"],
                 )
 
-    taken = some.mapInArrow(rows, "id string, label int, bins binary, size binary").collect()
-    taken = sorted((r for r in taken if r["size"]), key=lambda r: (r["id"], r["size"], r["bins"]))
+    lines_of = some.mapInArrow(rows, "id string, label int, bins binary, size binary").filter(F.length("size") > 0)
+    one = F.min(F.struct(F.xxhash64("size", "bins"), "size", "bins")).alias("one")  # reduced in tasks first
+    taken = lines_of.groupBy("id", "label").agg(one).select("id", "label", "one.size", "one.bins").collect()
+    taken.sort(key=lambda r: r["id"])
     n = sum(counts.values())
     prior = counts.get(1, 0) / n if n else 0.5
     none = np.zeros(0, np.int64)

@@ -50,6 +50,21 @@ def test_quality_on_held_out_rows(spark, sf_dir, labels):
     assert (got == want).mean() >= 0.93
 
 
+def test_quality_learns_from_whole_texts_and_one_row_an_id(spark, monkeypatch):
+    assert (quality.spread(200) == np.arange(200)).all()
+    at = quality.spread(10_000)
+    assert len(at) == 200 and at[0] == 0 and at[-1] == 9_999 and np.diff(at).max() < 10_000 / 7 and (np.diff(at) > 0).all()
+    head, tail = "A clean line of words.\n" * 300, "$$$ !!! 999 ###\n" * 300
+    docs = spark.createDataFrame([(1, head + tail), (2, head)] + [(2, head + "x" * i) for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bins, size, lines, y, prior: seen.append((bins, size, lines, y)))
+    quality.train(docs, labels, F.lit(True))
+    bins, size, lines, y = seen[0]
+    assert y.tolist() == [0, 1] and lines.tolist() == [200, 200]
+    assert len(np.unique(bins[:100], axis=0)) and (bins[50] != bins[150]).any()
+
+
 @pytest.fixture(scope="module")
 def odd_labels(spark):
     rows = [(0, 1), (1, 0), (3, None), (4, 0), (4, 1), (5, 1), (6, 0), (6, 0), (None, 1), (999, 1)]
