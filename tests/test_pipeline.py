@@ -89,6 +89,16 @@ def test_metrics_are_appended_once(spark, two_runs):
     assert metrics.count() > len(before["gold_risk_metrics"]) > 0
 
 
+def test_metrics_mature_across_a_gap_of_years(spark, landed, tmp_path):
+    root, params = str(tmp_path), RiskParams(draws=50)
+    for first, last in (("1998-01-01", "1998-06-30"), ("2000-03-01", "2000-04-30")):
+        now = dt.datetime.fromisoformat(last)
+        pipeline.run(spark, root, landed.filter(F.col("date").between(first, last)), now.date(), params=params, forest_params=SMALL, now=now)
+    old = _read(spark, root, "silver_risk_features").filter("date < '1999-01-01'").select("ticker", "date")
+    metrics = _read(spark, root, "gold_risk_metrics").select("ticker", "date")
+    assert old.count() > 0 and old.exceptAll(metrics).count() == 0
+
+
 def test_predictions_keep_their_ids(spark, two_runs):
     root, before, _ = two_runs
     rows = _read(spark, root, "gold_risk_inference")
