@@ -119,7 +119,7 @@ def test_lowest_level_keeps_to_the_bound(monkeypatch):
     assert lm_score.lowest_level(by_level) == 1
 
 
-def random_texts(seed, n):
+def random_wordings(seed, n):
     draw = random.Random(seed)
     return [" ".join(f"w{draw.randrange(40)}" for _ in range(draw.randrange(60))) for _ in range(n)] + [None, "", "unseen words only"]
 
@@ -127,7 +127,7 @@ def random_texts(seed, n):
 def test_scores_do_not_depend_on_what_one_broadcast_holds(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(lm_score, "RANGE_BYTES", 2_000)
     monkeypatch.setattr(lm_score, "TOGETHER", 1_000)
-    for docs in (frame_of(spark, random_texts(8, 150)), odd_docs):
+    for docs in (frame_of(spark, random_wordings(8, 150)), odd_docs):
         rows = lambda: sorted(map(repr, lm_score.score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 != 2).collect()))  # noqa: E731, B023
         whole = rows()
         with monkeypatch.context() as less:
