@@ -81,4 +81,68 @@ nodes AS (SELECT doc_id AS id FROM documents),
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM s JOIN component ON id = doc_id
 """
 
-ORACLES = {"op3_embedding_dedup": EMBEDDING_DEDUP, "op8_suffix_dedup": SUFFIX_DEDUP, "op10_jaccard_join": JACCARD_JOIN}
+LEXICAL_SEARCH = r"""
+WITH term AS (
+    SELECT doc_id, unnest(list_filter(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t
+    FROM documents
+),
+posting AS (SELECT doc_id, t, count(*)::BIGINT AS tf FROM term GROUP BY ALL),
+length AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM posting GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS l FROM length),
+weight AS (
+    SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, total GROUP BY t
+),
+norm AS (SELECT doc_id, 100 - 90 + (90 * n * docs) // l AS m FROM length, total),
+asked AS (
+    SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t
+    FROM benchmark
+),
+scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN posting USING (t) JOIN weight USING (t) JOIN norm USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+
+def _vector_codes(rounds: int) -> str:
+    """Codebooks round by round: each round is a handful of named steps over the one before it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS (
+            SELECT id, p, min_by(e, d * 256 + e) AS e, min(d) AS d
+            FROM (SELECT x.id, x.p, c.e, list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                  FROM part x JOIN c{i} c ON x.p = c.p)
+            GROUP BY id, p
+        )""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} AS (
+            SELECT p, e, list(m ORDER BY k) AS v
+            FROM (SELECT p, e, k, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
+                  FROM (SELECT a.p, a.e, unnest(x.v) AS x, unnest(range(len(x.v))) AS k FROM a{i} a JOIN part x ON a.id = x.id AND a.p = x.p)
+                  GROUP BY p, e, k)
+            GROUP BY p, e
+        ),
+        c{i + 1} AS (SELECT c.p, c.e, coalesce(s.v, c.v) AS v FROM c{i} c LEFT JOIN s{i} s ON c.p = s.p AND c.e = s.e)""")
+    return f"""
+    WITH kept AS (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    part AS (SELECT id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS v FROM kept, (SELECT unnest(range(4)) AS p)),
+    c0 AS (SELECT p, id - 1 AS e, v FROM part WHERE id <= 256),
+    {",".join(steps)},
+    book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}),
+    coded AS (SELECT id, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY id)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (id), book
+    """
+
+
+ORACLES = {"op3_embedding_dedup": EMBEDDING_DEDUP, "op8_suffix_dedup": SUFFIX_DEDUP, "op10_jaccard_join": JACCARD_JOIN, "op11_lexical_search": LEXICAL_SEARCH, "op13_vector_codes": _vector_codes(4)}

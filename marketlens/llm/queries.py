@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, jaccard_join, langid, lm_score, mixing, nearest, quality, suffix_dedup, toxicity
+from . import embed_dedup, jaccard_join, langid, lexical, lm_score, mixing, nearest, quality, sharding, suffix_dedup, toxicity, vector_codes
 from .bpe import encode_documents, read_ranks
 from .frames import fold, table
 from .oracles import ORACLES
@@ -72,8 +72,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op3_embedding_dedup, op4_toxicity, op5_language_id, op6_quality, op7_nearest, op8_suffix_dedup, op9_lm_score, op10_jaccard_join, op11_lexical_search, op12_kd_shards, op13_vector_codes)}
 
 
 def oracle_texts() -> dict[str, str]:
