@@ -206,6 +206,10 @@ def vix_regime(prices: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
 # --------------------------------------------------------------------- everything once
 
 
+# what the market and the volatility index did on a date
+CONTEXT = ("has_market", "mkt_return", "has_vix", "vix_price", "vix_return")
+
+
 def date_context(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     """One row per date with what the market and the volatility index did that day."""
     is_market = F.col("ticker") == params.market
@@ -224,31 +228,17 @@ def date_context(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame
     )
 
 
-def risk_panel(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
-    """Every series figure of every (date, ticker), with a single shuffle of the returns.
+def with_flags(rows: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
+    """Which rows of a (ticker, date) with its date's context have a return, and which take part in beta."""
+    in_beta = F.coalesce("has_market", F.lit(False)) & (F.col("ticker") != params.market)
+    return rows.withColumn("has_return", F.col("daily_return").isNotNull()).withColumn("has_beta_row", in_beta)
 
-    The single-figure operators above filter rows before they open a window, and
-    combining them afterwards would mean one join per figure. Here the filter
-    becomes a flag in the window's partition key instead: rows that qualify form
-    one partition and see exactly the rows the filter would have left them. The
-    hash exchange on ticker covers all of these keys.
 
-    ``beta_30d`` is NULL where the row has no market date; use ``has_beta_row``
-    to tell that from a beta that could not be computed.
-    """
-    r = F.col("daily_return")
-    context = broadcast_calendar(date_context(returns, params))
-    rows = (
-        returns.join(context, "date", "left")
-        .withColumn("has_return", r.isNotNull())
-        .withColumn(
-            "has_beta_row",
-            F.coalesce("has_market", F.lit(False)) & (F.col("ticker") != params.market),
-        )
-    )
+def panel_figures(rows: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
+    """Volatility, compounded return, beta and regime beside rows that have their flags and their date's context."""
     on_returns, on_market = ("ticker", "has_return"), ("ticker", "has_beta_row")
     level = F.col("vix_price")
-    figures = (
+    return (
         rows.withColumns(_return_sums(*on_returns, params=params))
         .withColumn("compounded", _compounded(*on_returns, params=params))
         .withColumns(_pair_sums(*on_market, params=params))
@@ -259,8 +249,24 @@ def risk_panel(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
             F.when(F.col("has_beta_row"), _beta(params)).alias("beta_30d"),
             F.when(level.isNotNull(), regime_code(level, params)).alias("market_regime_vix"),
         )
-        .withColumn("has_beta", F.col("beta_30d").isNotNull())
     )
+
+
+def risk_panel(returns: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
+    """Every series figure of every (date, ticker), with a single shuffle of the returns.
+
+    The single-figure operators above filter rows before they open a window, and
+    combining them afterwards would mean one join per figure. Here the filter
+    becomes a flag in the window's partition key instead: rows that qualify form
+    one partition and see exactly the rows the filter would have left them. The
+    hash exchange on ticker covers all of these keys.
+
+    ``beta_30d`` is NULL where the row has no market date; use ``has_beta_row``
+    to tell that from a beta that could not be computed.
+    """
+    context = broadcast_calendar(date_context(returns, params))
+    rows = with_flags(returns.join(context, "date", "left"), params)
+    figures = panel_figures(rows, params).withColumn("has_beta", F.col("beta_30d").isNotNull())
     ahead = F.lead("beta_30d", params.lead).over(_by_date("ticker", "has_beta"))
     return (
         figures.withColumn("beta_30d_5d_ahead", F.when(F.col("has_beta"), ahead))
