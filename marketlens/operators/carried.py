@@ -158,3 +158,30 @@ def advance(state: DataFrame, changes: DataFrame, params: RiskParams = DEFAULTS)
     )
     moved = ~F.col("beta_30d_drift_5d").eqNullSafe(F.col("held_beta_30d_drift_5d"))
     return figures.filter(F.col("fresh") | moved), figures
+
+
+def known_betas(state: DataFrame, params: RiskParams = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """(date, ticker, beta_30d) of the newest rows that take part in beta, without gaps; and (ticker, first) of each
+    ticker the date from which on these are all there are, NULL if from the beginning."""
+    most = held_rows(params)
+    newest = Window.partitionBy("ticker").orderBy(F.desc("date"))
+    rows = (
+        state.filter(F.col("has_market") & (F.col("ticker") != params.market))
+        .withColumn("nth", F.row_number().over(newest))
+        .filter(F.col("nth") <= most)
+    )
+    first = F.when(F.min("whole_betas"), F.lit(None).cast("date")).otherwise(F.min("date"))
+    return rows.select("date", "ticker", "beta_30d"), rows.groupBy("ticker").agg(first.alias("first"))
+
+
+def out_of_reach(
+    dates: DataFrame, reach: DataFrame, params: RiskParams = DEFAULTS, mode: str = "forward"
+) -> DataFrame:
+    """(ticker): those with one of the ``dates`` before what the state knows whole, or that it knows nothing of.
+
+    ``as_coded`` looks back from a date, so the rows before it have to be known too: it always asks for the bars
+    unless the state is whole.
+    """
+    before = F.col("first").isNotNull() & ((F.col("date") < F.col("first")) | F.lit(mode != "forward"))
+    known = reach.withColumn("known", F.lit(True))
+    return dates.join(known, "ticker", "left").filter(F.col("known").isNull() | before).select("ticker").distinct()

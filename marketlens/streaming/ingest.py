@@ -1,4 +1,4 @@
-"""Landed files as a stream: each micro-batch is appended to bronze like a daily load."""
+"""Landed files as a stream: each micro-batch goes into bronze like a daily load, once."""
 
 from __future__ import annotations
 
@@ -21,19 +21,16 @@ def stream_landed(
     """Take in every file not seen yet, then stop.
 
     Start it again for the next day's files: the checkpoint, which belongs in a
-    folder all executors reach, remembers which ones were read. A batch repeated
-    after a failure appends its bars again under higher ids, and the newest bar
-    per (date, ticker) wins as it does for any re-fetched bar.
+    folder all executors reach, remembers which ones were read. Its name and the
+    number of a batch go into bronze's version with the batch, so a batch that is
+    repeated after a failure adds nothing.
     """
 
-    def take_in(batch: DataFrame, _: int) -> None:
+    def take_in(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        years = pipeline.ingest(session, root, batch)  # the batch is read once, here
-        if not years:
-            return
-        pipeline.dedup_bronze(session, root, years)
+        pipeline.ingest(session, root, batch, batch=(checkpoint, number))
         if features:
-            pipeline.update_features(session, root)
+            pipeline.advance_features(session, root)
 
     tables.create_tables(spark, root)
     reader = spark.readStream.schema(schemas.LANDED_BARS)

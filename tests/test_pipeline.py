@@ -127,7 +127,7 @@ def test_reports_have_rows(two_runs):
     }
     for name, df in reports.items():
         assert df.count() > 0, name
-    names = len(wl.category(wl.DEFAULT_WATCHLIST, wl.UNIVERSE))
+    names = len(wl.ingest_set(watchlist=wl.DEFAULT_WATCHLIST))
     assert reports["correlation_matrix"].count() == names * (names + 1) // 2
     weights = [r.importance for r in reports["feature_importance"].collect()]
     assert len(weights) == 4 and sum(weights) == pytest.approx(1.0)
