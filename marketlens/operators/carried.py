@@ -124,11 +124,12 @@ def deep_tickers(state: DataFrame, changes: DataFrame, params: RiskParams = DEFA
     return per.filter(F.col("affected") & ~(enough_returns & enough_betas & in_reach)).select("ticker")
 
 
-def advance(state: DataFrame, changes: DataFrame, params: RiskParams = DEFAULTS) -> tuple[DataFrame, DataFrame]:
-    """A step: the panel's rows that are new or not what they were, and all rows of the new state before it is cut.
+def advance(state: DataFrame, changes: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
+    """A step: all rows of the new state, before ``state_of`` cuts it, in the shape of a risk panel.
 
+    ``fresh`` are the rows from a ticker's first change on, ``moved`` those and others whose target is not what it was.
     ``changes`` has one row per (ticker, date): what is now the newest bar there. Its tickers, and those that a change
-    of the market or the index concerns, must not be deep. Cut the second result with ``state_of``.
+    of the market or the index concerns, must not be deep.
     """
     together = _together(state, changes, context_floor(changes, params))
     fresh = F.coalesce(F.col("date") >= F.col("floor"), F.lit(False))
@@ -156,8 +157,8 @@ def advance(state: DataFrame, changes: DataFrame, params: RiskParams = DEFAULTS)
         "beta_30d_drift_5d",
         F.when(F.col("fresh") | (F.col("reaches") & F.col("floor").isNotNull()), F.col("target")).otherwise(F.col("held_beta_30d_drift_5d")),
     )
-    moved = ~F.col("beta_30d_drift_5d").eqNullSafe(F.col("held_beta_30d_drift_5d"))
-    return figures.filter(F.col("fresh") | moved), figures
+    other = ~F.col("beta_30d_drift_5d").eqNullSafe(F.col("held_beta_30d_drift_5d"))
+    return figures.withColumn("moved", F.col("fresh") | other)
 
 
 def known_betas(state: DataFrame, params: RiskParams = DEFAULTS) -> tuple[DataFrame, DataFrame]:

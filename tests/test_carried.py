@@ -83,8 +83,8 @@ def test_days_add_up_to_a_rebuild(spark, quick, seed, days, together):
         deep_seen += bool(deep)
         steps += 1
         shallow = ~F.col("ticker").isin(sorted(deep))
-        emitted, rows = carried.advance(held, changes, SMALL)
-        new = features.risk_features(emitted.filter(shallow)).collect()
+        rows = carried.advance(held, changes, SMALL)
+        new = features.risk_features(rows.filter(shallow & F.col("moved"))).collect()
         state = carried.state_of(rows.filter(shallow), SMALL).collect()
         if deep:
             panel = full_panel(bars, SMALL).filter(~shallow)

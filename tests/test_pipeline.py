@@ -194,3 +194,131 @@ def test_stream_takes_in_new_files_only(spark, landed, tmp_path):
     assert bronze.filter("date >= '2001-06-01' and volume <> 7").count() == 0
     stream_landed(spark, drop, root, state).awaitTermination()
     assert _read(spark, root, "bronze_price_history").count() == bronze.count()
+
+
+# ------------------------------------------------------------ runs in proportion to the day
+
+
+DAYS = [dt.date(2001, 10, 28), dt.date(2001, 10, 29), dt.date(2001, 10, 30), dt.date(2001, 10, 31)]
+
+
+@pytest.fixture(scope="module")
+def daily_lake(spark, landed, tmp_path_factory):
+    """A lake up to a day, then a run a day: a late bar, a corrected one, one of a year back; and what was read and written."""
+    root, name = str(tmp_path_factory.mktemp("daily")), "bronze_price_history"
+    tables.create_tables(spark, root)
+    few = landed.filter("date >= '2000-01-01' and (ticker rlike '^[^S]' or ticker rlike '^S1[0-9]$')")
+    missing = F.col("ticker").eqNullSafe("NVDA") & (F.col("date") == F.lit(dt.date(2001, 10, 20)))
+    pipeline.ingest(spark, root, few.filter((F.col("date") < F.lit(DAYS[0])) & ~missing))
+    pipeline.advance_features(spark, root)
+    pipeline.refresh_moments(spark, root)
+    reads = []
+    for i, day in enumerate(DAYS):
+        batch = few.filter(F.col("date") == F.lit(day))
+        if i == 1:
+            batch = batch.unionByName(few.filter(missing))
+        if i == 2:
+            batch = batch.unionByName(few.filter("ticker = 'S15' and date < '2001-10-28'").orderBy(F.desc("date")).limit(1).withColumn("adj_close", F.lit(77.0)))
+        if i == 3:
+            batch = batch.unionByName(few.filter("ticker = 'S16' and date > '2000-03-01'").orderBy("date").limit(1).withColumn("adj_close", F.lit(55.0)))
+        pipeline.ingest(spark, root, batch)
+        with pytest.MonkeyPatch.context() as patch:
+            own = []
+            patch.setattr(tables, "read", lambda *a, _f=tables.read, _o=own, **k: _o.append((a[2], k, df := _f(*a, **k), len(df.inputFiles()))) or df)
+            pipeline.advance_features(spark, root)
+            reads.append(own)
+        if i < 3:
+            pipeline.refresh_moments(spark, root, most_writes=2)
+    return root, reads
+
+
+def test_days_give_what_a_rebuild_gives(spark, daily_lake):
+    root, _ = daily_lake
+    bars = _read(spark, root, "bronze_price_history")
+    want = features.risk_features(series.risk_panel(series.daily_returns(prices.clean_prices(bars))))
+    key = lambda r: (r["ticker"], r["date"])
+    got = sorted(_read(spark, root, "silver_risk_features").collect(), key=key)
+    want = sorted(want.collect(), key=key)
+    assert list(map(key, got)) == list(map(key, want)) and len(want) > 1_000
+    for g, w in zip(got, want):
+        for c in w.asDict():
+            assert g[c] == w[c] or g[c] == pytest.approx(w[c], rel=1e-9, abs=1e-12)
+
+
+def test_a_day_reads_its_own_bars(daily_lake):
+    _, reads = daily_lake
+    for i, own in enumerate(reads):
+        bronze = [(how, files) for name, how, _, files in own if name == "bronze_price_history"]
+        # the day's bars, and of one ticker with a bar of the year before all of its bars
+        assert all("after_turn" in how or how.get("tickers") == ["S16", "^GSPC", "^VIX"] for how, _ in bronze)
+        # a file of each year that the day's bars are of
+        assert all(files <= 2 for how, files in bronze if "after_turn" in how)
+        assert len(bronze) == (2 if i == 3 else 1)
+
+
+def test_merged_moments_give_the_correlation_of_all_rows(spark, daily_lake):
+    from marketlens.operators import comoments
+    from marketlens.operators.correlation import correlation_matrix
+
+    root, _ = daily_lake
+    returns = series.daily_returns(prices.clean_prices(_read(spark, root, "bronze_price_history")))
+    names = [r["ticker"] for r in returns.select("ticker").distinct().collect()]
+    want = {(r["ticker_x"], r["ticker_y"]): r for r in correlation_matrix(returns, names).collect() if r["days"]}
+    for _ in range(2):
+        got = {(r["ticker_x"], r["ticker_y"]): r for r in comoments.correlations(pipeline.current_moments(spark, root)).collect()}
+        assert set(got) == set(want) and len(names) > 10
+        for k, w in want.items():
+            assert got[k]["days"] == w["days"]
+            assert got[k]["correlation"] == pytest.approx(w["correlation"], abs=1e-9)
+        pipeline.refresh_moments(spark, root)  # the years with a late return are added up anew
+        assert pipeline.refresh_moments(spark, root) == []
+
+
+def test_a_run_that_broke_off_is_made_good(spark, daily_lake, landed, monkeypatch):
+    root, _ = daily_lake
+    day = dt.date(2001, 11, 9)
+    pipeline.ingest(spark, root, spark.createDataFrame([(t, day, *[p] * 5, 1) for t, p in (("^GSPC", 120.0), ("^VIX", 20.0), ("NVDA", 130.0))], schemas.LANDED_BARS))
+
+    def lost(*_):
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "_carry", lost)
+        with pytest.raises(OSError):
+            pipeline.advance_features(spark, root)
+    pipeline.advance_features(spark, root)
+    returns = _read(spark, root, "carried_returns")
+    assert returns.count() == returns.select("ticker", "date").distinct().count()
+    assert pipeline.advance_features(spark, root) == []
+    test_days_give_what_a_rebuild_gives(spark, daily_lake)
+
+
+def test_back_fill_reads_no_bars_while_the_state_reaches(spark, daily_lake, monkeypatch):
+    root, _ = daily_lake
+    feats = _read(spark, root, "silver_risk_features").filter("date >= '2001-10-20'")
+    made = forest.as_predictions(feats.withColumn("predicted_drift", F.lit(0.1)), timestamp=SECOND)
+    tables.append(features.number_rows(made, "prediction_id", ["ticker", "forecast_date"], 0), root, "gold_risk_inference")
+    whole = features.backfill_actuals(
+        _read(spark, root, "gold_risk_inference"),
+        series.rolling_beta(series.daily_returns(prices.clean_prices(_read(spark, root, "bronze_price_history")))),
+    ).collect()
+    before = sum(f.stat().st_size for f in _data_files(root, "gold_risk_inference"))
+    with monkeypatch.context() as patch:
+        asked = []
+        patch.setattr(tables, "read", lambda *a, _f=tables.read, **k: asked.append(a[2]) or _f(*a, **k))
+        pipeline.close_predictions(spark, root)
+        assert "bronze_price_history" not in asked
+    got = {r["prediction_id"]: r for r in _read(spark, root, "gold_risk_inference").collect()}
+    assert len(got) == len(whole) and any(r["actual_beta_realized"] for r in whole)
+    for w in whole:
+        for c in ("actual_beta_realized", "prediction_error", "predicted_beta_final"):
+            assert got[w["prediction_id"]][c] == w[c] or got[w["prediction_id"]][c] == pytest.approx(w[c], rel=1e-9)
+    assert before > 0
+    pipeline.close_predictions(spark, root)
+    assert {r["prediction_id"]: r for r in _read(spark, root, "gold_risk_inference").collect()} == got
+
+
+def _data_files(root, name):
+    from pathlib import Path
+
+    return list((Path(root) / name / "data").rglob("*.parquet"))
