@@ -109,6 +109,14 @@ _CTES: dict[str, str] = {
     **_layer("kept_", "kept_bars"),
     "early_bars": f"SELECT * FROM bars WHERE date < (SELECT d - {EARLIER_RUN_DAYS} FROM today)",
     **_layer("early_", "early_bars"),
+    "named": f"SELECT DISTINCT ticker FROM bars UNION ALL SELECT '{ABSENT}'",
+    "correlated": """
+        SELECT a.ticker AS ticker_x, b.ticker AS ticker_y, count(*) AS days,
+               round(CASE WHEN count(*) >= 2 THEN covar_pop(a.daily_return, b.daily_return)
+                     / nullif(stddev_pop(a.daily_return) * stddev_pop(b.daily_return), 0) END, 6) + 0.0 AS correlation
+        FROM returns a JOIN returns b ON b.date = a.date AND a.ticker <= b.ticker
+        WHERE a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL
+        GROUP BY a.ticker, b.ticker""",
     "open_features": f"""
         SELECT *, {STAND_IN_DRIFT} * feat_rolling_beta_130d AS predicted_drift
         FROM features WHERE target_beta_drift_5d IS NULL""",
@@ -277,6 +285,15 @@ _BODIES: dict[str, str] = {
     "bronze_dedup": f"SELECT id, {_BAR} FROM newest",
     "archive_rows": f"SELECT id, {_BAR} FROM bars WHERE date < (SELECT d - 1095 FROM today)",
     "retained_rows": f"SELECT id, {_BAR} FROM bars WHERE date >= (SELECT d - 1095 FROM today)",
+    "stored_tables": """
+        SELECT table_name, columns, ticker, count(*) AS rows, min(day) AS first_day, max(day) AS last_day
+        FROM (SELECT 'bronze_price_history' AS table_name, 10 AS columns, ticker, date AS day FROM clean
+              UNION ALL
+              SELECT 'gold_risk_inference', 10, ticker, forecast_date FROM predictions
+              UNION ALL
+              SELECT 'gold_risk_var_summary', 6, ticker, CAST(ts AS DATE)
+              FROM var_table)
+        GROUP BY ALL""",
     "safe_math": f"""
         SELECT {_r('x')}, rows,
                {_r('CASE WHEN x > 0 THEN sqrt(x) ELSE 0 END', 'sqrt_x')},
@@ -314,6 +331,7 @@ _BODIES: dict[str, str] = {
                {_VAR_TEXT} AS display_text
         FROM last_var""",
     "risk_features_new": f"SELECT {_FEATURES} FROM features",
+    "features_from_state": f"SELECT {_FEATURES} FROM features",
     "silver_risk_features_merge": f"""
         SELECT {_FEATURES} FROM (
             SELECT * FROM kept_features
@@ -364,16 +382,10 @@ _BODIES: dict[str, str] = {
         FROM panel p JOIN clean x ON x.date = p.date AND x.ticker = '^VIX'""",
     "panic_periods": _PANIC,
     "correlation_matrix": f"""
-        SELECT x AS ticker_x, y AS ticker_y, coalesce(days, 0) AS days, correlation
-        FROM (SELECT unnest([{_strings([*SYMBOLS, ABSENT])}]) AS x), (SELECT unnest([{_strings([*SYMBOLS, ABSENT])}]) AS y)
-        LEFT JOIN (
-            SELECT a.ticker AS ta, b.ticker AS tb, count(*) AS days,
-                   {_r('CASE WHEN count(*) >= 2 THEN covar_pop(a.daily_return, b.daily_return) / nullif(stddev_pop(a.daily_return) * stddev_pop(b.daily_return), 0) END', 'correlation')}
-            FROM returns a JOIN returns b ON b.date = a.date
-            WHERE a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL
-              AND a.ticker IN ({_strings(SYMBOLS)}) AND b.ticker IN ({_strings(SYMBOLS)})
-            GROUP BY a.ticker, b.ticker) ON ta = x AND tb = y
-        WHERE x <= y""",
+        SELECT x.ticker AS ticker_x, y.ticker AS ticker_y, coalesce(days, 0) AS days, correlation
+        FROM named x JOIN named y ON x.ticker <= y.ticker
+        LEFT JOIN correlated c ON c.ticker_x = x.ticker AND c.ticker_y = y.ticker""",
+    "correlation_merged": "SELECT * FROM correlated",
     "vix_latest_regime": f"""
         SELECT date, {_r('adj_close', 'current_level')}, market_regime_vix,
                CASE market_regime_vix WHEN 0 THEN 'Quiet (Low Volatility)'

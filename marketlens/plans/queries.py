@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from marketlens.functions import safe_div, safe_exp, safe_ln, safe_pow, safe_sqrt
 from marketlens.functions.placement import keep_members
 from marketlens.operators import (
+    carried,
+    comoments,
     features,
     forest,
     portfolio,
@@ -21,9 +23,11 @@ from marketlens.operators import (
 from marketlens.operators.correlation import correlation_matrix
 from marketlens.params import RiskParams
 from marketlens import schemas
+from marketlens.plans import pipeline
 from marketlens.plans.views import register_views
-from marketlens.sources import landing, watchlist as wl
+from marketlens.sources import landing, tables, watchlist as wl
 from marketlens.sources.lineitem_bars import SYMBOLS, bars_from_lineitem
+from marketlens.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,6 +153,11 @@ def _var_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(252, 9).unionByName(run(126, 17))
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _as_text(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
@@ -256,6 +265,33 @@ def safe_math(spark, sf_dir):
     )
 
 
+@_query
+def stored_tables(spark, sf_dir):
+    """All tables created, filled as a run fills them, and read again: of each table and ticker the rows and dates.
+
+    Bars come in two batches that overlap, the second one twice; VaR rows and predictions are appended.
+    """
+    root = scratch_folder(spark)
+    tables.create_tables(spark, root)
+    bars = bars_from_lineitem(spark, sf_dir)
+    landed = bars.select(*schemas.LANDED_BARS.fieldNames())
+    split = F.date_sub(_newest_date(bars), EARLIER_RUN_DAYS)
+    late = landed.filter(F.col("date") >= F.date_sub(split, EARLIER_RUN_DAYS))
+    for batch, rows in ((1, landed.filter(F.col("date") < split)), (2, late), (2, late)):
+        pipeline.ingest(spark, root, rows, batch=("landing", batch))
+    runs = _var_table(spark, sf_dir)
+    tables.append(runs, root, "gold_risk_var_summary")
+    tables.append(_open_predictions(spark, sf_dir), root, "gold_risk_inference")
+    told = None
+    for name, (schema, date_column) in schemas.TABLES.items():
+        part = tables.read(spark, root, name).groupBy("ticker").agg(
+            F.count("*").alias("rows"), F.min(F.to_date(date_column)).alias("first_day"), F.max(F.to_date(date_column)).alias("last_day")
+        )
+        part = part.select(F.lit(name).alias("table_name"), F.lit(len(schema)).alias("columns"), "*")
+        told = part if told is None else told.unionByName(part)
+    return told
+
+
 # ------------------------------------------------------------------ silver, gold
 
 
@@ -326,6 +362,18 @@ def risk_features_new(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
+@_query
+def features_from_state(spark, sf_dir):
+    """Features of an earlier run, upserted with those that the state of that run and the bars since then give."""
+    bars = bars_from_lineitem(spark, sf_dir)
+    day = F.date_sub(_newest_date(bars), EARLIER_RUN_DAYS)
+    earlier = series.risk_panel(series.daily_returns(prices.clean_prices(landing.scan_bars(bars, end=day))))
+    panel = _written(earlier, scratch_folder(spark))  # as an earlier run leaves them
+    state = _written(carried.state_of(panel), scratch_folder(spark))
+    rows = carried.advance(state, prices.clean_prices(landing.scan_bars(bars, start=day)))
+    return features.upsert(features.risk_features(panel), features.risk_features(rows.filter("moved")))
+
+
 @_query
 def silver_risk_features_merge(spark, sf_dir):
     """Features of an earlier run over all bars, upserted from the bars kept after archiving."""
@@ -483,8 +531,20 @@ def panic_periods(spark, sf_dir):
 
 @_query
 def correlation_matrix_pairs(spark, sf_dir):
-    """Pairs of the watched symbols and of one that has no bars."""
-    return correlation_matrix(_returns(spark, sf_dir), [*SYMBOLS, ABSENT])
+    """Pairs of all tickers that have bars, and of one that has none."""
+    bars = bars_from_lineitem(spark, sf_dir)
+    tickers = [r["ticker"] for r in bars.select("ticker").distinct().collect()]  # a name for each of the result's rows
+    return correlation_matrix(_returns(spark, sf_dir), [*tickers, ABSENT])
+
+
+@_query
+def correlation_merged(spark, sf_dir):
+    """Pairs of all tickers, from moments of the years up to an earlier run and of the days since then."""
+    bars = bars_from_lineitem(spark, sf_dir)
+    day = F.date_sub(_newest_date(bars), EARLIER_RUN_DAYS)
+    returns = _returns(spark, sf_dir)
+    parts = [comoments.moments(returns.filter(F.col("date") < day)), comoments.moments(returns.filter(F.col("date") >= day))]
+    return comoments.correlations(parts[0].unionByName(parts[1]))
 
 
 @_query
