@@ -16,6 +16,10 @@ DEFAULTS = RiskParams()
 Portfolios = Mapping[str, Mapping[str, float]]
 
 
+# Portfolios of one ticker that are joined together; a ticker that more of them hold is dealt out.
+HOLDERS_TOGETHER = 2_000
+
+
 def portfolio_stress(
     returns: DataFrame, portfolios: Portfolios, params: RiskParams = DEFAULTS
 ) -> DataFrame:
@@ -24,25 +28,45 @@ def portfolio_stress(
     A portfolio has a return on the dates on which all its members have one, so it
     has at most one row per calendar day.
     """
-    spark = returns.sparkSession
-    rows = [
-        (name, ticker, float(weight), len(members))
-        for name, members in portfolios.items()
-        for ticker, weight in members.items()
-    ]
-    weights = spark.createDataFrame(
-        rows, "portfolio string, ticker string, weight double, members long"
-    )
+    rows = [(name, ticker, float(weight), len(members)) for name, members in portfolios.items() for ticker, weight in members.items()]
+    weights = returns.sparkSession.createDataFrame(rows, "portfolio string, ticker string, weight double, members long")
     if len(rows) <= MEMBER_LIST_ROWS:
         weights = F.broadcast(weights)
+    moves = returns.filter(F.col("daily_return").isNotNull())
+    return _worst_falls(moves.join(weights, "ticker"), params)
+
+
+def portfolio_stress_of(returns: DataFrame, weights: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
+    """The same for a table of weights (portfolio, ticker, weight), of any number of portfolios.
+
+    A ticker's holders are dealt into parts of ``HOLDERS_TOGETHER`` at about; the
+    ticker's returns go to each part, so a ticker that all portfolios hold is joined
+    by many tasks. What a portfolio gets from its members is added up before and after
+    the shuffle. Rows that repeat a portfolio and ticker add up to one member; rows
+    without portfolio, ticker or weight are left out.
+    """
+    held = weights.dropna(subset=["portfolio", "ticker", "weight"]).groupBy("portfolio", "ticker").agg(F.sum("weight").alias("weight"))
+    members = held.groupBy("portfolio").agg(F.count("*").alias("members"))
+    parts = held.groupBy("ticker").agg(F.ceil(F.count("*") / F.lit(HOLDERS_TOGETHER)).cast("int").alias("parts"))
+    dealt = held.join(parts, "ticker").withColumn("part", F.pmod(F.xxhash64("portfolio"), F.col("parts")).cast("int")).drop("parts")
+    moves = (
+        returns.filter(F.col("daily_return").isNotNull())
+        .select("date", "ticker", "daily_return")
+        .join(parts, "ticker")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .drop("parts")
+    )
+    return _worst_falls(moves.join(dealt, ["ticker", "part"]).join(members, "portfolio"), params)
+
+
+def _worst_falls(shares: DataFrame, params: RiskParams) -> DataFrame:
+    """From what each member of a portfolio moved on a date, with its weight and the number of members."""
     span = params.compounding
     by_date = Window.partitionBy("portfolio").orderBy("date")
     last = by_date.rowsBetween(-(span - 1), Window.currentRow)
     growth = F.sum(safe_ln(1 + F.col("portfolio_return"))).over(last)
     return (
-        returns.filter(F.col("daily_return").isNotNull())
-        .join(weights, "ticker")
-        .groupBy("portfolio", "date")
+        shares.groupBy("portfolio", "date")
         .agg(
             F.sum(F.col("weight") * F.col("daily_return")).alias("portfolio_return"),
             F.count("*").alias("present"),

@@ -160,6 +160,55 @@ def max_drawdown(clean: DataFrame) -> DataFrame:
     )
 
 
+def drawdown_parts(clean: DataFrame) -> DataFrame:
+    """Peak, lowest price and deepest fall of each ticker and year by itself, out of which ``merge_drawdowns`` makes the whole.
+
+    A ticker's years lie in different tasks. Prices are above 0; those that are not take no part.
+    """
+    so_far = Window.partitionBy("ticker", "year").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    price = F.col("adj_close")
+    return (
+        clean.filter(price > 0)
+        .withColumn("year", F.year("date"))
+        .withColumn("so_far", F.max("adj_close").over(so_far))
+        .groupBy("ticker", "year")
+        .agg(
+            F.min("date").alias("first"),
+            F.max("adj_close").alias("peak"),
+            F.min("adj_close").alias("trough"),
+            F.min((price - F.col("so_far")) / F.col("so_far") * 100).alias("fall"),
+        )
+        .select("ticker", "first", "peak", "trough", "fall")
+    )
+
+
+def merge_drawdowns(parts: DataFrame, by: Column | str = "ticker") -> DataFrame:
+    """The drawdown of each ticker out of parts that follow one another, of any lengths.
+
+    The deepest fall lies within a part, or goes from the highest peak of the parts before to a part's trough: merged
+    parts are parts again, so a day is a part that is merged with what there is.
+    """
+    earlier = Window.partitionBy(by).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    across = (F.col("trough") - F.col("before")) / F.col("before") * 100
+    return (
+        parts.withColumn("before", F.max("peak").over(earlier))
+        .groupBy(by)
+        .agg(
+            F.min("first").alias("first"),
+            F.max("peak").alias("peak"),
+            F.min("trough").alias("trough"),
+            F.min(F.least("fall", across)).alias("fall"),
+        )
+    )
+
+
+def drawdown_of(merged: DataFrame) -> DataFrame:
+    """Merged parts in the shape of ``max_drawdown``."""
+    return merged.select(
+        "ticker", F.col("fall").alias("max_drawdown_pct"), F.col("peak").alias("cycle_high"), F.col("trough").alias("cycle_low")
+    )
+
+
 def rolling_volume(clean: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     """Mean volume over the last rows that have one."""
     frame = _last(params.window, "ticker")

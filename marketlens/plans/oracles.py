@@ -198,6 +198,25 @@ _CTES: dict[str, str] = {
                count(*) OVER w AS rows_seen
         FROM portfolio_days
         WINDOW w AS (PARTITION BY portfolio ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+    "funds": f"""
+        SELECT portfolio, ticker, sum(weight) AS weight FROM (
+            SELECT DISTINCT 'F' || l_suppkey AS portfolio, 0.5 AS weight,
+                   CASE WHEN l_suppkey % 10 < 5 OR l_suppkey < 10
+                        THEN [{_strings(SYMBOLS)}][CAST(l_suppkey % 10 AS INTEGER) + 1] ELSE 'S' || l_suppkey END AS ticker
+            FROM lineitem
+            UNION ALL SELECT DISTINCT 'F' || l_suppkey, 0.5, '^GSPC' FROM lineitem)
+        GROUP BY portfolio, ticker""",
+    "fund_days": """
+        SELECT portfolio, date, sum(weight * daily_return) AS ret
+        FROM returns JOIN funds USING (ticker) JOIN (SELECT portfolio, count(*) AS members FROM funds GROUP BY portfolio) USING (portfolio)
+        WHERE daily_return IS NOT NULL
+        GROUP BY portfolio, date HAVING count(*) = max(members)""",
+    "fund_windows": """
+        SELECT portfolio, date,
+               exp(sum(CASE WHEN 1 + ret > 0 THEN ln(1 + ret) ELSE 0 END) OVER w) - 1 AS loss,
+               count(*) OVER w AS rows_seen
+        FROM fund_days
+        WINDOW w AS (PARTITION BY portfolio ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
 }
 
 
@@ -312,6 +331,11 @@ _BODIES: dict[str, str] = {
                {_r('max(peak)', 'cycle_high')}, {_r('min(adj_close)', 'cycle_low')}
         FROM (SELECT *, max(adj_close) OVER (PARTITION BY ticker ORDER BY date) AS peak FROM clean)
         GROUP BY ticker""",
+    "drawdown_merged": f"""
+        SELECT ticker, {_r('min((adj_close - peak) / nullif(peak, 0) * 100)', 'max_drawdown_pct')},
+               {_r('max(peak)', 'cycle_high')}, {_r('min(adj_close)', 'cycle_low')}
+        FROM (SELECT *, max(adj_close) OVER (PARTITION BY ticker ORDER BY date) AS peak FROM clean)
+        GROUP BY ticker""",
     "gold_beta_30d_drift_5d": f"SELECT date, ticker, {_r('beta_30d')}, {_r('beta_30d_5d_ahead')}, {_r('beta_30d_drift_5d')} FROM drift",
     "gold_cum_return_5d": f"SELECT date, ticker, {_r('daily_return')}, {_r('cumulative_return_5d')} FROM cumret",
     "gold_market_regime_vix": f"SELECT date, {_r('adj_close')}, market_regime_vix FROM regime",
@@ -428,6 +452,10 @@ _BODIES: dict[str, str] = {
         SELECT portfolio, count(*) AS windows, {_r('min(loss)', 'worst_return_5d')},
                arg_min(date, loss) AS worst_date
         FROM portfolio_windows WHERE rows_seen = 5 GROUP BY portfolio""",
+    "portfolio_stress_table": f"""
+        SELECT portfolio, count(*) AS windows, {_r('min(loss)', 'worst_return_5d')},
+               arg_min(date, {{'l': loss, 'd': date}}) AS worst_date
+        FROM fund_windows WHERE rows_seen = 5 GROUP BY portfolio""",
     "idiosyncratic_divergence": f"""
         SELECT date, ticker, {_r('daily_return')}, {_r('residual')}, {_r('daily_sigma')},
                abs(residual) > 2 * daily_sigma AS diverges

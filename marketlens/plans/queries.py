@@ -320,6 +320,12 @@ def gold_max_drawdown(spark, sf_dir):
     return series.max_drawdown(_clean(spark, sf_dir))
 
 
+@_query
+def drawdown_merged(spark, sf_dir):
+    """The same from years by themselves, put together."""
+    return series.drawdown_of(series.merge_drawdowns(series.drawdown_parts(_clean(spark, sf_dir))))
+
+
 @_query
 def gold_beta_30d_drift_5d(spark, sf_dir):
     return series.beta_drift(series.rolling_beta(_returns(spark, sf_dir)))
@@ -600,6 +606,16 @@ def portfolio_stress_5d(spark, sf_dir):
     return portfolio.portfolio_stress(_returns(spark, sf_dir), PORTFOLIOS)
 
 
+@_query
+def portfolio_stress_table(spark, sf_dir):
+    """A portfolio for each supplier: half of the market, which all of them hold, half of the supplier's own ticker."""
+    own = bars_from_lineitem(spark, sf_dir, "l_suppkey").select("l_suppkey", "ticker").distinct()
+    named = F.concat(F.lit("F"), F.col("l_suppkey").cast("string")).alias("portfolio")
+    half = F.lit(0.5).alias("weight")
+    weights = own.select(named, "ticker", half).unionByName(own.select(named, F.lit(PARAMS.market).alias("ticker"), half))
+    return portfolio.portfolio_stress_of(_returns(spark, sf_dir), weights)
+
+
 @_query
 def idiosyncratic_divergence(spark, sf_dir):
     return portfolio.idiosyncratic_divergence(_panel(spark, sf_dir))

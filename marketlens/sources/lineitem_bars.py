@@ -16,7 +16,8 @@ SYMBOLS = ("^GSPC", "^VIX", "^IXIC", "^TNX", "^IRX", "NVDA", "TSLA", "XOM", "CVX
 INDICES = 5
 
 
-def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_from_lineitem(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The bars, and ``more`` columns of the line items beside them."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     residue = (F.col("l_suppkey") % 10).cast("int")
     named = F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), residue + 1)
@@ -41,4 +42,5 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         close.alias("adj_close"),
         F.floor("l_extendedprice").cast("long").alias("volume"),
         F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+        *more,
     )

@@ -120,3 +120,46 @@ def test_numbering_is_dense_and_ignores_the_layout(spark):
     two = features.number_rows(keys.repartition(13), "n", ["ticker"], 500, buckets=16)
     assert sorted(r.n for r in one.collect()) == list(range(501, 1501))
     assert sorted(one.collect()) == sorted(two.collect())
+
+
+def test_drawdowns_of_parts_add_up(spark):
+    """However a ticker's history is cut, its parts give what the window gives; and a day is merged with what there is."""
+    import datetime as dt
+    import random
+
+    draw = random.Random(3)
+    rows = [
+        (dt.date(2019, 1, 1) + dt.timedelta(days=7 * i), t, None if draw.random() < 0.05 else round(draw.uniform(1, 100), 2), 1)
+        for t in "ABC"
+        for i in range(200)
+    ]
+    clean = spark.createDataFrame(rows, "date date, ticker string, adj_close double, volume long")
+    want = sorted(map(tuple, series.max_drawdown(clean).collect()))
+    parts = series.drawdown_parts(clean)
+    assert parts.groupBy("ticker").count().filter("count < 3").count() == 0
+    close = lambda rows: [(t, pytest.approx(f), h, l) for t, f, h, l in rows]  # noqa: E731, E741
+    assert sorted(map(tuple, series.drawdown_of(series.merge_drawdowns(parts)).collect())) == close(want)
+    before, day = clean.filter("date < '2022-10-20'"), clean.filter("date >= '2022-10-20'")
+    held = series.merge_drawdowns(series.drawdown_parts(before))
+    again = series.merge_drawdowns(held.unionByName(series.drawdown_parts(day)))
+    assert sorted(map(tuple, series.drawdown_of(again).collect())) == close(want)
+
+
+def test_portfolios_from_a_table(spark, monkeypatch):
+    import datetime as dt
+
+    from marketlens.operators import portfolio
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(30)]
+    moves = [(d, t, ((i * 7 + ord(t[0])) % 11 - 5) / 100 if (i + ord(t[0])) % 6 else None) for i, d in enumerate(days) for t in ("A", "B", "C", "H")]
+    returns = spark.createDataFrame(moves, "date date, ticker string, daily_return double")
+    named = {f"p{i}": {"H": 0.5, "ABC"[i % 3]: 0.5} for i in range(40)}
+    table = [(p, t, w) for p, held in named.items() for t, w in held.items()]
+    odd = [("q", "H", 0.25), ("q", "H", 0.25), ("q", "A", 0.5), (None, "A", 1.0), ("r", None, 1.0), ("r", "A", None)]
+    weights = spark.createDataFrame(table + odd, "portfolio string, ticker string, weight double")
+    want = sorted(map(tuple, portfolio.portfolio_stress(returns, named | {"q": {"H": 0.5, "A": 0.5}}).collect()))
+    monkeypatch.setattr(portfolio, "HOLDERS_TOGETHER", 3)  # H is dealt out
+    got = sorted(map(tuple, portfolio.portfolio_stress_of(returns, weights).collect()))
+    assert len(want) == 41
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], abs=1e-12) and g[3] == w[3]
