@@ -25,8 +25,8 @@ VECTOR = 6
 #: Documents of a language that the fit looks at, chosen by a hash of the id, and windows of each, evenly spaced.
 #: Prediction knows no such bounds.
 FIT_ROWS, FIT_WINDOWS = 300, 6
-#: Languages that the softmax may have.
-MOST_LANGUAGES = 500
+#: Documents that the fit looks at in all, shared out evenly, but one of each language at least.
+FIT_ALL = 30_000
 EPOCHS, BATCH, RATE = 10, 128, 4e-3
 #: Windows that are looked at together.
 TOGETHER = 512
@@ -128,20 +128,17 @@ def has_letter(text: np.ndarray) -> bool:
 
 
 def train(docs: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> ByteNet:
-    """Fit on up to FIT_ROWS documents of each language for which `allowed` holds; rows without language or text teach
-    nothing. The windows of the chosen documents are cut in tasks. Without any the net knows no language."""
+    """Fit on up to FIT_ROWS documents of each language for which `allowed` holds, FIT_ALL at most together if there are
+    no more languages than that: each language has the same number then, one at least. Rows without language or text
+    teach nothing. An id is one document: if it is repeated, the row of the least language and windows stands for it. The
+    windows of the chosen documents are cut in tasks. Without any the net knows no language."""
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     named = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & allowed)
-    chosen = (
-        named.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
-        .withColumn("n", F.row_number().over(by_hash))  # tasks drop what is beyond the limit before the shuffle
-        .filter(F.col("n") <= FIT_ROWS)
-        .select("id")
-        .distinct()
-        .limit(FIT_ROWS * MOST_LANGUAGES)
-    )
+    known = named.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).groupBy("id").agg(F.min("lang").alias("lang"))
+    each = min(FIT_ROWS, max(1, FIT_ALL // max(1, known.select("lang").distinct().count())))
+    chosen = known.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= each).select("id", "lang")
     some = named.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "id"  # FIT_ROWS ids a language at most
+        F.broadcast(chosen), ["id", "lang"]  # FIT_ALL rows, or one for each language
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,12 +154,9 @@ def train(docs: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str =
                     [part.column("id").cast(pa.string()), part.column("lang"), pa.array(found, pa.binary())], names=["id", "lang", "windows"]
                 )
 
-    taken = sorted(
-        some.mapInArrow(rows, "id string, lang string, windows binary").collect(), key=lambda r: (r["lang"], r["id"], r["windows"])
-    )
+    windows = some.mapInArrow(rows, "id string, lang string, windows binary").groupBy("id").agg(F.min("lang").alias("lang"), F.min("windows").alias("windows"))
+    taken = sorted(windows.collect(), key=lambda r: (r["lang"], r["id"], r["windows"]))
     languages = sorted({r["lang"] for r in taken})
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; MOST_LANGUAGES is {MOST_LANGUAGES}")
     net = ByteNet(languages)
     cuts = [np.frombuffer(r["windows"], np.uint8).reshape(-1, WINDOW) for r in taken]
     if cuts and sum(map(len, cuts)):

@@ -121,7 +121,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
     """Fit on up to FIT_ROWS labelled rows of each class for which `allowed` (over the id) holds.
 
     Which rows is settled by a hash of their ids. Rows without id or label and ids that have both labels teach nothing; an
-    id that is labelled more than once alike counts once. The features of the chosen rows are found in tasks.
+    id that is labelled more than once alike counts once, and so does an id with several texts: the one whose features
+    come first. The features of the chosen rows are found in tasks.
     """
     known = (
         labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & allowed)
@@ -149,7 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
                 )
 
     got, y, total = [], [], 0
-    taken = some.mapInArrow(rows, "id string, label int, turn int, features binary").orderBy("turn", "label", "id")
+    found = some.mapInArrow(rows, "id string, label int, turn int, features binary")
+    found = found.groupBy("turn", "label", "id").agg(F.min("features").alias("features"))  # one row for each id
+    taken = found.orderBy("turn", "label", "id")
     for r in taken.toLocalIterator():
         x = np.frombuffer(r["features"], np.uint32)
         got.append(x)

@@ -149,3 +149,47 @@ def test_distinct_grams():
     assert once == set(toxicity.grams(np.frombuffer(b"ABCabcabcabc", np.uint8), seen).tolist())
     assert len(once) == 9  # three of each length
     assert len(toxicity.grams(np.frombuffer(b"ab", np.uint8), seen)) == 0
+
+
+def test_language_and_toxicity_learn_from_one_row_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(1, "an english text", "en"), (2, "ein deutscher satz", "de")] + [(3, f"copy number {i} of one id " * 20, "en") for i in range(300)] + [(4, "noch ein satz", "de")],
+        "doc_id long, text string, lang string",
+    )
+    seen = []
+    monkeypatch.setattr(langid.ByteNet, "fit", lambda self, cuts, which: seen.append((self.languages, np.bincount(which).tolist(), len(cuts))))
+    langid.train(docs, F.lit(True))
+    (languages, windows, n), = seen
+    assert languages == ["de", "en"] and windows[0] == 2 and 2 <= windows[1] <= 1 + langid.FIT_WINDOWS and n == sum(windows)
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (4, 1)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda got, y, prior: taken.append((len(got), y.tolist(), prior)))
+    toxicity.train(docs, labels, F.lit(True))
+    assert taken == [(4, [0, 1, 0, 1], 0.5)]
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_ALL", 100)
+    monkeypatch.setattr(langid.ByteNet, "fit", lambda self, cuts, which: None)
+    docs = spark.range(1_800).select(F.col("id").alias("doc_id"), F.lit("some letters").alias("text"), F.concat(F.lit("l"), (F.col("id") % 600).cast("string")).alias("lang"))
+    assert len(langid.train(docs, F.lit(True)).languages) == 600
+
+
+def test_toxicity_scores_by_hand(spark):
+    """Ratios and scores of a small fit, worked out feature by feature."""
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 40, 12)) for _ in range(60)]
+    labels = np.array([int(3 in x) for x in rows])
+    model = toxicity.fit([x.astype(np.uint32) for x in rows], labels, 0.25)
+    n1, n0 = labels.sum(), (1 - labels).sum()
+    for feature in range(40):
+        p = 1 + sum(feature in x for x, y in zip(rows, labels, strict=True) if y)
+        q = 1 + sum(feature in x for x, y in zip(rows, labels, strict=True) if not y)
+        ratio = np.log(p / (n1 + 1)) - np.log(q / (n0 + 1))
+        if abs(ratio) < toxicity.LEAST_ERRORS * np.sqrt(1 / p + 1 / q):
+            assert model.weights[feature] == 0
+        elif model.weights[feature]:
+            assert model.weights[feature] * ratio > 0  # of the sign of its ratio
+    for x in rows[:10]:
+        z = model.intercept + sum(float(model.weights[f]) for f in x)
+        assert model.score(x.astype(np.uint32)) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
