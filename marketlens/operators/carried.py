@@ -54,15 +54,17 @@ def state_of(panel: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
         panel = panel.withColumn("has_market", F.col("has_beta_row") | (F.col("ticker") == params.market))
     newest = lambda *kind: F.row_number().over(Window.partitionBy("ticker", *kind).orderBy(F.desc("date")))
     before = {c: F.col(c) if c in panel.columns else F.lit(True) for c in ("whole_returns", "whole_betas")}
-    counted = (
-        panel.withColumn("nth", newest())
-        .withColumn("nth_return", newest("has_return"))
-        .withColumn("nth_beta", newest("has_beta_row"))
-        .withColumn("returns", F.count(F.when(F.col("has_return"), 1)).over(_ticker()))
-        .withColumn("betas", F.count(F.when(F.col("has_beta_row"), 1)).over(_ticker()))
-        .withColumn("rows", F.count("*").over(_ticker()))
-        .withColumn("_returns_before", F.min(before["whole_returns"]).over(_ticker()))
-        .withColumn("_betas_before", F.min(before["whole_betas"]).over(_ticker()))
+    counted = panel.withColumns(
+        {
+            "nth": newest(),
+            "nth_return": newest("has_return"),
+            "nth_beta": newest("has_beta_row"),
+            "returns": F.count(F.when(F.col("has_return"), 1)).over(_ticker()),
+            "betas": F.count(F.when(F.col("has_beta_row"), 1)).over(_ticker()),
+            "rows": F.count("*").over(_ticker()),
+            "_returns_before": F.min(before["whole_returns"]).over(_ticker()),
+            "_betas_before": F.min(before["whole_betas"]).over(_ticker()),
+        }
     )
     keep = F.when(_is_index(params), F.col("nth") <= 3 * most).otherwise(
         (F.col("nth_return") <= most) | (F.col("nth_beta") <= most)
@@ -140,13 +142,12 @@ def advance(state: DataFrame, changes: DataFrame, params: RiskParams = DEFAULTS)
     )
     context = broadcast_calendar(series.date_context(rows, params).select("date", *[F.col(c).alias(f"new_{c}") for c in series.CONTEXT]))
     rows = rows.join(context, "date", "left")
-    for c in series.CONTEXT:
-        rows = rows.withColumn(c, F.when(F.col("fresh"), F.col(f"new_{c}")).otherwise(F.col(c))).drop(f"new_{c}")
+    rows = rows.withColumns({c: F.when(F.col("fresh"), F.col(f"new_{c}")).otherwise(F.col(c)) for c in series.CONTEXT})
     held = [F.col(c).alias(f"held_{c}") for c in (*_FIGURES, "beta_30d_drift_5d")]
-    carried = rows.select(*[c for c in rows.columns if c not in (*_FIGURES, "beta_30d_drift_5d")], *held)
+    gone = (*_FIGURES, "beta_30d_drift_5d", *[f"new_{c}" for c in series.CONTEXT])
+    carried = rows.select(*[c for c in rows.columns if c not in gone], *held)
     figures = series.panel_figures(series.with_flags(carried, params), params)
-    for c in _FIGURES:
-        figures = figures.withColumn(c, F.when(F.col("fresh"), F.col(c)).otherwise(F.col(f"held_{c}")))
+    figures = figures.withColumns({c: F.when(F.col("fresh"), F.col(c)).otherwise(F.col(f"held_{c}")) for c in _FIGURES})
     figures = figures.withColumn("has_beta", F.col("beta_30d").isNotNull())
     by_beta = Window.partitionBy("ticker", "has_beta").orderBy("date")
     ahead = F.lead("beta_30d", params.lead).over(by_beta)
