@@ -191,6 +191,54 @@ def test_components_of_similar_texts(spark, n, percent):
     assert [rows[i] for i in range(len(texts))] == components_of(texts, n, percent)
 
 
+def near_copies(seed, n=150, words=120):
+    """Texts made from one by changing some words each, so that many are just similar enough or just not."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(10_000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(draw.randrange(0, 8)):
+            text[draw.randrange(words)] = f"x{draw.randrange(30)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("part", [2_048, 16])
+def test_classes_of_a_large_group_of_near_copies(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    texts = near_copies(part)
+    want = components_of(texts, 4, 85)
+    rows = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link_documents(frame_of(spark, texts), 4, 85).collect()}
+    assert [rows[i] for i in range(len(texts))] == want
+    assert 10 < len({c for _, c in want}) < len(texts)
+
+
+@pytest.mark.parametrize("part", [2_048, 7])
+def test_pairs_within_leave_out_no_similar_pair(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    draw = np.random.default_rng(part)
+    base = draw.integers(0, 2**63, 200)
+    sets = []
+    for _ in range(60):
+        own = draw.integers(0, 2**63, draw.integers(0, 25))
+        sets.append(np.concatenate([draw.choice(base, 200 - draw.integers(0, 25), replace=False), own]).astype(np.uint64))
+    groups = [(t, i, len(s), len(s), i % 50, bytearray(jaccard_join.parity(s))) for i, s in enumerate(sets) for t in (1, 2)]
+    frame = spark.createDataFrame(groups, "token long, cls long, size long, met long, at long, parity binary")
+    rows = jaccard_join.pairs_within(frame, 80, best=False).collect()
+    found = {(r["a"], r["b"]) for r in rows}
+    assert len(rows) == len(found)
+    for i in range(60):
+        for j in range(i + 1, 60):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            near = 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+            assert (i, j) in found or not near or i % 50 == j % 50
+    assert 0 < len(found) < 60 * 59 // 2 and all(a % 50 != b % 50 for a, b in found)
+    best = {(r["a"], r["b"]): r["others"] for r in jaccard_join.pairs_within(frame, 80, best=True).collect()}
+    assert set(best) <= found and {b for _, b in best} == {b for _, b in found}
+    assert part < 60 or len(best) + sum(best.values()) == len(found)
+
+
 def test_odd_rows_of_the_join(odd_docs, no_docs):
     rows = jaccard_join.link_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()
