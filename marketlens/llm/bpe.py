@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 
 from .frames import as_strings, pieces
 
-#: Pre-tokens that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Bytes of memory, by estimate, that a worker's remembered pre-tokens take before it starts anew. Longer pre-tokens than
+#: LONG bytes are forgotten with the texts they came with.
+REMEMBERED = 64 << 20
+LONG = 128
 
 #: Bytes of text whose new pre-tokens are merged together.
 TOGETHER = 4 << 20
@@ -70,6 +72,8 @@ class Encoder:
         #: Ranks of which one pair can begin with the symbol that ends another.
         self.overlapping = {rank for rank, a in firsts.items() if a & seconds[rank]}
         self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.held = 0
+        self.passing: list[str] = []
 
     def encode(self, text: str) -> list[int]:
         words = self.findall(text)
@@ -87,9 +91,13 @@ class Encoder:
         return b"".join(map(self.token.__getitem__, ids))
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remember the ids of these pre-tokens."""
-        if len(self.known) > REMEMBERED:
+        """Remember the ids of these pre-tokens, long ones until the next call."""
+        for word in self.passing:
+            self.known.pop(word, None)
+        self.passing = []
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
         new = [w for w in set(words) if w not in self.known]
         if not new:
             return
@@ -105,7 +113,12 @@ class Encoder:
             self._remember(word, ids)
 
     def _remember(self, word: str, ids: tuple[int, ...]) -> None:
-        self.known[word] = (ids, " ".join(map(str, ids)), self.decode(ids))
+        back = self.decode(ids)
+        self.known[word] = (ids, " ".join(map(str, ids)), back)
+        if len(back) > LONG:
+            self.passing.append(word)
+        else:
+            self.held += 320 + 3 * len(back) + 48 * len(ids)  # objects and their places in tuples and the dictionary
 
     def merge(self, raw: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each byte string, merged by lowest rank first and leftmost first among equals."""

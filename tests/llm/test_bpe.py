@@ -50,6 +50,14 @@ def test_remembering_is_bounded(monkeypatch):
     assert len(own.known) < 200
 
 
+def test_long_pre_tokens_are_not_remembered():
+    own, theirs = bpe.Encoder(RANKS, PATTERN), library(RANKS)
+    long = "abcdefgh" * 500
+    for text in (long, f"{long} and {long}", "short words", ""):
+        assert own.encode(text) == theirs.encode_ordinary(text)
+    assert long not in own.known and "short" in own.known and 0 < own.held < 10_000
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = bpe.encode_documents(odd_docs, RANKS, PATTERN)
     assert out.columns == [c for c in odd_docs.columns if c != "n_tokens"] + ["n_tokens", "ids", "decoded"]
