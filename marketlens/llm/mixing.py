@@ -95,8 +95,12 @@ class Plan:
     places: np.ndarray
 
 
-def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block: int, most_epochs: float) -> Plan:
-    """As many slots as it takes for every document to come up once."""
+def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block: int, most_epochs: float, length: int | None = None) -> Plan:
+    """As many slots as it takes for every document to come up once, or as many as hold `length` documents."""
+    if length is not None:
+        blocks = shares(weights, -(-length // block))
+        slots = blocks // np.gcd.reduce(blocks)
+        return Plan(sources, slots, schedule(slots), documents, blocks * block)
     share = weights / weights.sum()
     epochs = np.minimum(share * (documents / share).max() / documents, most_epochs)
     target = epochs * documents
@@ -106,12 +110,14 @@ def plan(sources: list[str], documents: np.ndarray, weights: np.ndarray, block:
     return Plan(sources, slots, schedule(slots), documents, blocks_given * block)
 
 
-def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str | None = "text", most_epochs: float = MOST_EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str | None = "text", most_epochs: float = MOST_EPOCHS, length: int | None = None) -> DataFrame:
     """(position, slot, epoch, source, doc_id, key) of every place in the mixture; positions run from 0 without a gap.
 
     Each source's documents come in the order of a hash, so a source that is done early begins anew: places beyond its
     documents have epoch 1 and up, as many as its weight needs. With `most_epochs` no document comes more often than that,
-    give or take a block, and a source that would need more gets less than its weight.
+    give or take a block, and a source that would need more gets less than its weight. With `length` the mixture ends after
+    so many documents, in whole blocks: each source has its weight's share of them, a block at least, and one that is
+    larger than its share gives the first of its documents by hash. A length below a block for each source is an error.
     Sources that `weights` leaves out or gives nothing are left out; weights of absent sources count for nothing; without
     `weights` they follow from TEMPERATURE. A null source is a source of its own, a null id an id. Rows alike in source,
     id and text stand for one document that comes as often as the row is there. An empty table gives an empty mixture.
@@ -120,6 +126,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     """
     if not most_epochs >= 1:
         raise ValueError(f"most_epochs is {most_epochs}; every document comes up once at least")
+    if length is not None and most_epochs != MOST_EPOCHS:
+        raise ValueError("a mixture of a given length has no limit of epochs")
     spark = docs.sparkSession
     name = F.concat(F.lit("="), F.col(source).cast("string"))
     rows = docs.select(
@@ -137,7 +145,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     columns = "position long, slot long, epoch long, source string, doc_id " + docs.schema[doc_id].dataType.simpleString() + ", key long"
     if not sources:
         return spark.createDataFrame([], columns)
-    p = plan(sources, np.array([sizes[s] for s in sources]), np.array([wanted[s] for s in sources]), block, most_epochs)
+    p = plan(sources, np.array([sizes[s] for s in sources]), np.array([wanted[s] for s in sources]), block, most_epochs, length)
     first = np.cumsum(p.slots) - p.slots
     per_source = spark.createDataFrame(
         [(s, int(k), int(f), int(n), int(m)) for s, k, f, n, m in zip(sources, p.slots, first, p.documents, p.places, strict=True)],
@@ -168,6 +176,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     last = F.floor((F.col("places") - 1 - F.col("number")) / F.col("documents"))
     places = (
         numbered.join(F.broadcast(per_source), "src")  # a row per source
+        .filter("number < places")
         .select("*", last.alias("last"))
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), "last", F.lit(COPIES).cast("long"))).alias("some"))
         .select("*", F.explode(F.sequence("some", F.least(F.col("some") + COPIES - 1, "last"))).alias("epoch"))
@@ -188,12 +197,12 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     )
 
 
-def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str = "text", most_epochs: float = MOST_EPOCHS) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, doc_id: str = "doc_id", source: str = "source", text: str = "text", most_epochs: float = MOST_EPOCHS, length: int | None = None) -> DataFrame:
     """The documents themselves in the order of the mixture, each as often as it comes up, with the columns of `docs`.
 
     Of rows alike in source, id and text one stands for all. Written files hold ascending stretches of the mixture.
     """
-    places = mix(docs, weights, block, doc_id, source, text, most_epochs).select(F.col("position").alias("__position"), F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    places = mix(docs, weights, block, doc_id, source, text, most_epochs, length).select(F.col("position").alias("__position"), F.col("source").alias("__source"), F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     one = docs.withColumns({"__k": F.xxhash64(F.col(text))}).dropDuplicates([source, doc_id, "__k"])
     same = one[source].cast("string").eqNullSafe(places["__source"]) & one[doc_id].eqNullSafe(places["__id"]) & (one["__k"] == places["__key"])
     joined = one.join(places, same).select(*docs.columns, "__position")

@@ -39,6 +39,20 @@ def test_more_sources_than_a_fixed_period_holds(spark):
     assert Counter(r["source"] for r in rows)["5000"] == len(rows) // 2 == 5_000
 
 
+def test_mixture_of_a_given_length(spark):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2_900, "large").otherwise("small").alias("source"), F.lit("t").alias("text"))
+    rows = mixing.mix(docs, {"large": 0.001, "small": 0.999}, length=8_000).collect()
+    assert sorted(r["position"] for r in rows) == list(range(8_000))
+    count = Counter((r["source"], r["doc_id"]) for r in rows)
+    large = [n for (s, _), n in count.items() if s == "large"]
+    small = [n for (s, _), n in count.items() if s == "small"]
+    assert large == [1] * 8 and len(small) == 100 and set(small) <= {79, 80}
+    with pytest.raises(ValueError, match="too few"):
+        mixing.mix(docs, length=8)
+    with pytest.raises(ValueError, match="no limit"):
+        mixing.mix(docs, most_epochs=2, length=800)
+
+
 def test_mixture_of_documents(documents):
     rows = mixing.mix(documents).orderBy("position").collect()
     assert [r["position"] for r in rows] == list(range(len(rows)))
