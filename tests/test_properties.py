@@ -92,6 +92,22 @@ def test_correlation_wants_a_list(clean):
         correlation_matrix(series.daily_returns(clean), [])
 
 
+def test_correlation_of_a_frame_of_names(spark, clean):
+    """Names stay in their frame, and pairs come from one task each: no join brings them together."""
+    returns = series.daily_returns(clean)
+    names = [r["ticker"] for r in returns.select("ticker").distinct().orderBy("ticker").limit(9).collect()] + ["NONE"]
+    frame = spark.createDataFrame([(n,) for n in [*names, names[0], None]], "ticker string")
+    key = ["ticker_x", "ticker_y"]
+    got = correlation_matrix(returns, frame, 3)
+    assert "Project [ticker_x" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = got.orderBy(*key).collect()
+    want = correlation_matrix(returns, names).orderBy(*key).collect()
+    assert [(r["ticker_x"], r["ticker_y"], r["days"]) for r in rows] == [(r["ticker_x"], r["ticker_y"], r["days"]) for r in want]
+    assert len(rows) == 55 and sum(r["days"] == 0 for r in rows) >= 10
+    for r, w in zip(rows, want, strict=True):
+        assert r["correlation"] == (None if w["correlation"] is None else pytest.approx(w["correlation"], abs=1e-9))
+
+
 def test_archive_and_retained_split_the_bars(spark, sf_dir):
     bars = bars_from_lineitem(spark, sf_dir)
     today = bars.agg(F.max("date")).first()[0]
