@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators import features, prices, series
+from marketlens.operators import comoments, features, prices, series
 from marketlens.operators.correlation import correlation_matrix
 from marketlens.params import RiskParams
 from marketlens.sources.lineitem_bars import bars_from_lineitem
@@ -108,6 +108,23 @@ def test_correlation_of_a_frame_of_names(spark, clean):
         assert r["correlation"] == (None if w["correlation"] is None else pytest.approx(w["correlation"], abs=1e-9))
 
 
+@pytest.mark.parametrize("per_block", [4096, 4])
+def test_correlation_of_parts_equals_merged_moments(clean, per_block):
+    """The same as moments by period that are merged, and nothing of the size of the pairs is shuffled."""
+    returns = series.daily_returns(clean)
+    late = F.col("date") >= F.lit("2023-02-20").cast("date")
+    key = ["ticker_x", "ticker_y"]
+    got = comoments.correlations_of_parts(returns, late.cast("int"), per_block)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 1
+    parts = comoments.moments(returns.filter(late)).unionByName(comoments.moments(returns.filter(~late)))
+    want = comoments.correlations(parts).orderBy(*key).collect()
+    rows = got.orderBy(*key).collect()
+    assert [(r["ticker_x"], r["ticker_y"], r["days"]) for r in rows] == [(r["ticker_x"], r["ticker_y"], r["days"]) for r in want]
+    for r, w in zip(rows, want, strict=True):
+        assert r["correlation"] == (None if w["correlation"] is None else pytest.approx(w["correlation"], abs=1e-9))
+
+
 def test_archive_and_retained_split_the_bars(spark, sf_dir):
     bars = bars_from_lineitem(spark, sf_dir)
     today = bars.agg(F.max("date")).first()[0]
