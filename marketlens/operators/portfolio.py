@@ -39,24 +39,41 @@ def portfolio_stress(
 def portfolio_stress_of(returns: DataFrame, weights: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     """The same for a table of weights (portfolio, ticker, weight), of any number of portfolios.
 
-    A ticker's holders are dealt into parts of ``HOLDERS_TOGETHER`` at about; the
-    ticker's returns go to each part, so a ticker that all portfolios hold is joined
-    by many tasks. What a portfolio gets from its members is added up before and after
-    the shuffle. Rows that repeat a portfolio and ticker add up to one member; rows
+    Portfolios that hold the same are worked out once. A portfolio has a return only on
+    the days of its member with the fewest, so the rows begin with that member's days,
+    and the others' returns are looked up by ticker and date: a ticker that all
+    portfolios hold gives them no days of its own. Those that share such a first member
+    are dealt into parts of ``HOLDERS_TOGETHER`` at about, and the member's returns go to
+    each part. Rows that repeat a portfolio and ticker add up to one member; rows
     without portfolio, ticker or weight are left out.
     """
     held = weights.dropna(subset=["portfolio", "ticker", "weight"]).groupBy("portfolio", "ticker").agg(F.sum("weight").alias("weight"))
-    members = held.groupBy("portfolio").agg(F.count("*").alias("members"))
-    parts = held.groupBy("ticker").agg(F.ceil(F.count("*") / F.lit(HOLDERS_TOGETHER)).cast("int").alias("parts"))
-    dealt = held.join(parts, "ticker").withColumn("part", F.pmod(F.xxhash64("portfolio"), F.col("parts")).cast("int")).drop("parts")
-    moves = (
-        returns.filter(F.col("daily_return").isNotNull())
-        .select("date", "ticker", "daily_return")
-        .join(parts, "ticker")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("parts")
+    baskets = held.groupBy("portfolio").agg(F.sort_array(F.collect_list(F.struct("ticker", "weight"))).alias("basket"))
+    leads = baskets.groupBy("basket").agg(F.min("portfolio").alias("lead"))
+    moves = returns.filter(F.col("daily_return").isNotNull()).select("date", "ticker", "daily_return")
+    days = moves.groupBy("ticker").agg(F.count("*").alias("days"))
+    members = leads.select("lead", F.size("basket").cast("long").alias("members"), F.inline("basket"))
+    rarest = (
+        members.join(days, "ticker", "left")
+        .groupBy("lead")
+        .agg(F.min(F.struct(F.coalesce("days", F.lit(0).cast("long")).alias("days"), "ticker", "weight", "members")).alias("m"))
+        .select("lead", "m.*")
+        .filter("days > 0")
     )
-    return _worst_falls(moves.join(dealt, ["ticker", "part"]).join(members, "portfolio"), params)
+    parts = rarest.groupBy("ticker").agg(F.ceil(F.count("*") / F.lit(HOLDERS_TOGETHER)).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("lead"), F.col("parts")).cast("int")
+    # a number of tasks of its own: how small the rows are says nothing of the days that come of them
+    tasks = 2 * int(returns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rarest.join(parts, "ticker").select("lead", "ticker", "weight", "members", part.alias("part")).repartition(tasks, "ticker", "part")
+    first = moves.join(parts, "ticker").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    begun = first.join(dealt.hint("merge"), ["ticker", "part"]).select("lead", "date", "members", "weight", "daily_return")
+    others = members.join(rarest.select("lead", "ticker"), ["lead", "ticker"], "left_anti").select("lead", "ticker", F.col("weight"))
+    asked = begun.filter("members > 1").select("lead", "date", "members").join(others, "lead")
+    looked_up = moves.join(others.select("ticker").distinct(), "ticker", "left_semi")
+    more = asked.join(looked_up, ["ticker", "date"]).select("lead", "date", "members", "weight", "daily_return")
+    falls = _worst_falls(begun.unionByName(more).withColumnRenamed("lead", "portfolio"), params)
+    named = baskets.join(leads, "basket").select("portfolio", "lead")
+    return named.join(falls.withColumnRenamed("portfolio", "lead"), "lead").drop("lead")
 
 
 def _worst_falls(shares: DataFrame, params: RiskParams) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators import comoments, features, prices, series
+from marketlens.operators import comoments, features, portfolio, prices, series, value_at_risk
 from marketlens.operators.correlation import correlation_matrix
 from marketlens.params import RiskParams
 from marketlens.sources.lineitem_bars import bars_from_lineitem
@@ -196,3 +196,20 @@ def test_portfolios_from_a_table(spark, monkeypatch):
     assert len(want) == 41
     for g, w in zip(got, want, strict=True):
         assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], abs=1e-12) and g[3] == w[3]
+
+
+def test_portfolios_that_hold_the_same_are_worked_out_once(spark, clean):
+    """All hold what is worked out for one of them; days come from the member with the fewest, dealt to tasks by number."""
+    returns = series.daily_returns(clean)
+    a, b = [r["ticker"] for r in returns.select("ticker").distinct().orderBy("ticker").limit(2).collect()]
+    short = returns.filter((F.col("ticker") != b) | (F.dayofmonth("date") < 20))
+    rows = [(f"p{i}", t, w) for i in range(40) for t, w in ((a, 0.25), (b, 0.75))] + [("q", a, 0.5), ("q", "NONE", 0.5), ("r", a, 1.0)]
+    weights = spark.createDataFrame(rows, "portfolio string, ticker string, weight double")
+    got = portfolio.portfolio_stress_of(short, weights)
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    found = {r["portfolio"]: tuple(r)[1:] for r in got.collect()}
+    assert set(found) == {"r", *(f"p{i}" for i in range(40))}
+    want = portfolio.portfolio_stress(short, {"p": {a: 0.25, b: 0.75}, "r": {a: 1.0}}).collect()
+    want = {r["portfolio"]: tuple(r)[1:] for r in want}
+    assert found["r"] == pytest.approx(want["r"]) and all(found[f"p{i}"][0] == want["p"][0] and found[f"p{i}"][2] == want["p"][2] for i in range(40))
+    assert len({v[1] for k, v in found.items() if k != "r"}) == 1 and found["p0"][1] == pytest.approx(want["p"][1])
