@@ -213,3 +213,18 @@ def test_portfolios_that_hold_the_same_are_worked_out_once(spark, clean):
     want = {r["portfolio"]: tuple(r)[1:] for r in want}
     assert found["r"] == pytest.approx(want["r"]) and all(found[f"p{i}"][0] == want["p"][0] and found[f"p{i}"][2] == want["p"][2] for i in range(40))
     assert len({v[1] for k, v in found.items() if k != "r"}) == 1 and found["p0"][1] == pytest.approx(want["p"][1])
+
+
+def test_only_rows_that_are_chosen_are_simulated(clean):
+    """Rows of several runs share a ticker's draws, and what is chosen before has the figures it would have had."""
+    runs = [(value_at_risk.recent_returns(clean, p), F.lit(f"2024-01-0{i} 00:00:00"), p) for i, p in enumerate((RiskParams(), RiskParams(lookback=40)), 1)]
+    whole = [value_at_risk.var_summary(*run) for run in runs]
+    want = sorted(map(tuple, value_at_risk.latest_var(whole[0].unionByName(whole[1])).collect()))
+    figures = [value_at_risk.var_figures(*run) for run in runs]
+    both = figures[0].unionByName(figures[1])
+    chosen = value_at_risk.with_simulation(value_at_risk.latest_var(both))
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RankLimit" if "RankLimit" in plan else "row_number")
+    assert sorted(map(tuple, chosen.collect())) == want
+    together = sorted(map(tuple, value_at_risk.with_simulation(both).collect()))
+    assert together == sorted(t for w in whole for t in map(tuple, w.collect()))
