@@ -116,9 +116,9 @@ class Filter:
 
 
 def count_ngrams(texts: DataFrame, n_ranges: int) -> DataFrame:
-    """(n_words, hashes, counts, order) for each range of hashes: exact counts of all tokens and of all pairs, as packed
-    arrays. Tasks count what they hold before anything is shuffled, so a frequent word is one
-    entry of a task, and ranges are even whatever the words."""
+    """For each range of hashes the exact counts of its tokens, as packed arrays, and the filter's segment: the bits of its
+    tokens and pairs, all of which are counted. Pairs are needed for nothing else, so their counts end there. Tasks count what
+    they hold before anything is shuffled, so a frequent word is one entry of a task, and ranges are even whatever the words."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,27 +139,29 @@ def count_ngrams(texts: DataFrame, n_ranges: int) -> DataFrame:
                     )
 
     def add_up(group: pa.Table) -> pa.Table:
-        order, index = group["order"][0].as_py(), group["range"][0].as_py()
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in group["counts"].to_pylist()])
-        found, inverse = np.unique(hashes, return_inverse=True)
-        total = np.bincount(inverse, counts).astype(np.int64)
-        sizes = np.bincount(levels_of(total), minlength=64).astype(np.int64)
+        order, every = group["order"].to_numpy(), []
+        for k in (1, 2):
+            rows = group.filter(pa.array(order == k))
+            hashes, counts = unpacked(rows["hashes"], np.uint64), unpacked(rows["counts"], np.int32)
+            found, inverse = np.unique(hashes, return_inverse=True)
+            every.append((found, np.bincount(inverse, counts, len(found)).astype(np.int64)))
+        words, times = every[0]
+        levels = levels_of(np.concatenate([n for _, n in every]))
         return pa.table(
             {
-                "range": pa.array([index], pa.int32()),
-                "order": pa.array([order], pa.int32()),
-                "hashes": pa.array([found.tobytes()], pa.binary()),
-                "counts": pa.array([total.tobytes()], pa.binary()),
-                "tokens": [int(total.sum())],
-                "distinct": [len(found)],
-                "by_level": pa.array([sizes.tolist()], pa.list_(pa.int64())),
+                "range": group["range"].slice(0, 1),
+                "hashes": pa.array([words.tobytes()], pa.binary()),
+                "counts": pa.array([times.tobytes()], pa.binary()),
+                "tokens": [int(times.sum())],
+                "distinct": [len(words)],
+                "by_level": pa.array([np.bincount(levels, minlength=64).tolist()], pa.list_(pa.int64())),
+                "bits": pa.array([segment(np.concatenate([h for h, _ in every]), levels)], pa.binary()),
             }
         )
 
     packed = texts.mapInArrow(pack, "range int, order int, hashes binary, counts binary")
-    return packed.groupBy("range", "order").applyInArrow(
-        add_up, "range int, order int, hashes binary, counts binary, tokens long, distinct long, by_level array<long>"
+    return packed.groupBy("range").applyInArrow(
+        add_up, "range int, hashes binary, counts binary, tokens long, distinct long, by_level array<long>, bits binary"
     )
 
 
@@ -170,12 +172,6 @@ def lowest_level(by_level: np.ndarray) -> int:
     return max(1, int(np.argmax(fits)))
 
 
-def segment_of(group: pa.Table) -> bytes:
-    """The segment of a range from its rows of `count_ngrams`."""
-    hashes, counts = unpacked(group["hashes"], np.uint64), unpacked(group["counts"], np.int64)
-    return segment(hashes, levels_of(counts))
-
-
 def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
 
@@ -183,11 +179,7 @@ def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 def fill_filter(counted: DataFrame, n_ranges: int) -> tuple[bytes, np.ndarray]:
     """The filter's bits and the bytes of each segment."""
 
-    def fill(group: pa.Table) -> pa.Table:
-        index = pa.array([group["range"][0].as_py()], pa.int32())
-        return pa.table({"range": index, "bits": pa.array([segment_of(group)], pa.binary())})
-
-    rows = counted.groupBy("range").applyInArrow(fill, "range int, bits binary").orderBy("range").collect()
+    rows = counted.select("range", "bits").collect()
     bits = {r["range"]: r["bits"] for r in rows}
     parts = [bytes(bits.get(i, b"\0")) for i in range(n_ranges)]
     return b"".join(parts), np.array([len(x) for x in parts], np.int64)
@@ -206,7 +198,8 @@ def numbered_pieces(docs: DataFrame, text: str) -> DataFrame:
 
 
 def levels_of_pieces(held: DataFrame, text: str, counted: DataFrame, n_ranges: int) -> DataFrame:
-    """(__piece, hashes, levels): what the filter says of the n-grams of each piece, read where its segments are filled."""
+    """(__piece, range, levels): what the filter says of the n-grams of each piece, in the order of their hashes, read where
+    its segments are."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,23 +222,23 @@ def levels_of_pieces(held: DataFrame, text: str, counted: DataFrame, n_ranges: i
                 )
 
     def answer(grams: pa.Table, asked: pa.Table) -> pa.Table:
-        bits = segment_of(grams)
+        bits = grams["bits"][0].as_py() if grams.num_rows else b"\0"
         bloom = Filter(bits, np.array([len(bits)]))
         levels = [bloom.levels(np.frombuffer(x, np.uint64)).astype(np.uint8).tobytes() for x in asked["hashes"].to_pylist()]
-        return pa.table({"__piece": asked["__piece"], "hashes": asked["hashes"], "levels": pa.array(levels, pa.binary())})
+        return pa.table({"__piece": asked["__piece"], "range": asked["range"], "levels": pa.array(levels, pa.binary())})
 
     asked = held.select("__piece", text).mapInArrow(ask, "__piece long, range int, hashes binary")
     return (
-        counted.select("range", "hashes", "counts")
+        counted.select("range", "bits")
         .groupBy("range")
         .cogroup(asked.groupBy("range"))
-        .applyInArrow(answer, "__piece long, hashes binary, levels binary")
+        .applyInArrow(answer, "__piece long, range int, levels binary")
     )
 
 
 def frequent_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, ascending, and exact counts of the FREQUENT most frequent words."""
-    words = counted.filter("order = 1").mapInArrow(_unpacked, "hash long, n long")
+    words = counted.select("hashes", "counts").mapInArrow(_unpacked, "hash long, n long")
     top = words.orderBy(F.col("n").desc(), "hash").limit(FREQUENT).toArrow()
     hashes = top["hash"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
@@ -277,9 +270,8 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
     size = texts.agg(F.sum(F.octet_length("text").cast("long") + 1).alias("n"), F.count("*").alias("d")).first()
     n_ranges = max(1, -(-(size["n"] or 0) // RANGE_BYTES))
     counted = cut(count_ngrams(texts, n_ranges))
-    told = counted.groupBy("order").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v"))
-    told = {r["order"]: r for r in told.collect()}
-    total, distinct = (told[1]["n"], told[1]["v"]) if told else (0, 0)
+    told = counted.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
+    total, distinct = told["n"] or 0, told["v"] or 0
     levels = counted.select(F.posexplode("by_level").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
     by_level = np.zeros(64, np.int64)
     for r in levels:
@@ -334,9 +326,10 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
 
     def read_piece(rows: pa.Table, told: pa.Table) -> pa.Table:
         _, _, known, times = shared.value
-        hashes, first = np.unique(unpacked(told["hashes"], np.uint64), return_index=True)
-        levels = unpacked(told["levels"], np.uint8)[first].astype(np.int64)
         part = rows.combine_chunks().to_batches()[0]
+        tokens, pairs, _ = token_hashes(*as_bytes(part.column(text)))
+        hashes = np.unique(np.concatenate([tokens, pairs]))  # as they were asked for, range by range
+        levels = unpacked(told.sort_by("range")["levels"], np.uint8).astype(np.int64)
         return pa.table(scored(part, lambda of: levels[np.searchsorted(hashes, of)], known, times), names=[*kept, *inner])
 
     distinct_total = distinct
@@ -353,7 +346,7 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
         answers = levels_of_pieces(held, text, counted, n_ranges)
         told = held.groupBy("__piece").cogroup(answers.groupBy("__piece")).applyInArrow(read_piece, schema)
     first = cut(told.withColumn("__row", F.monotonically_increasing_id()))
-    words = counted.filter("order = 1").mapInArrow(_unpacked, "hash long, n long")
+    words = counted.select("hashes", "counts").mapInArrow(_unpacked, "hash long, n long")
     rare = first.select("__row", F.explode("__rare").alias("hash")).groupBy("hash", "__row").agg(F.count("*").alias("times"))
     found = (
         rare.join(words, "hash")

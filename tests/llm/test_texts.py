@@ -257,3 +257,19 @@ def test_words_of_many_texts():
     data = np.frombuffer(b"".join(texts), np.uint8)
     hashes, count = word_hashes(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
     assert count.tolist() == [0, 3, 1, 0, 1] and hashes[0] == hashes[2] == hashes[4] and len(set(hashes.tolist())) == 3
+
+
+def test_pairs_are_kept_as_bits_of_the_filter_only(spark):
+    """What is stored of the counts are words and segments: one row for each range, without the hashes of pairs."""
+    texts = spark.createDataFrame([(f"w{i % 7} w{i % 5} w{i % 3}",) for i in range(60)] + [("",)], "text string")
+    rows = lm_score.count_ngrams(texts, 3).collect()
+    assert len({r["range"] for r in rows}) == len(rows) <= 3
+    assert [len(r["hashes"]) for r in rows] == [8 * r["distinct"] for r in rows]
+    assert sum(r["distinct"] for r in rows) == 8 and sum(r["tokens"] for r in rows) == 241
+    tokens, pairs, _ = lm_score.token_hashes(*lm_score.as_bytes(texts.toArrow()["text"].combine_chunks()))
+    bits = {r["range"]: r["bits"] for r in rows}
+    parts = [bits.get(i, b"\0") for i in range(3)]
+    held = lm_score.Filter(b"".join(parts), lm_score.np.array([len(p) for p in parts]))
+    for hashes in (tokens, pairs):
+        found, times = lm_score.np.unique(hashes, return_counts=True)
+        assert (held.levels(found) >= lm_score.levels_of(times)).all()
