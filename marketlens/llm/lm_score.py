@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import as_bytes, cut, mixed, pieces, stored
+from .frames import as_bytes, mixed, pieces, stored
 from .words import pair_hash, word_hashes
 
 #: Size up to which the filter is sent to every worker, its bits for each level of an n-gram, and the probes of a level.
-FILTER_BYTES, BITS, PROBES = 48 << 20, 10, 4
+FILTER_BYTES, BITS, PROBES = 1 << 20, 10, 4
 #: Share of the bigram estimate in a probability; none after a word that the filter does not hold.
 PAIR_SHARE = 0.3
 #: Words whose exact counts are sent to every worker; counts of the others are joined.
@@ -194,7 +194,7 @@ def numbered_pieces(docs: DataFrame, text: str) -> DataFrame:
             piece = pa.array(np.full(part.num_rows, first + k))
             yield pa.RecordBatch.from_arrays([*part.columns, piece], names=[*part.schema.names, "__piece"])
 
-    return stored(docs.mapInArrow(number, T.StructType([*docs.schema, T.StructField("__piece", T.LongType())])))
+    return stored(docs.mapInArrow(number, T.StructType([*docs.schema, T.StructField("__piece", T.LongType())])), "zstd")
 
 
 def levels_of_pieces(held: DataFrame, text: str, counted: DataFrame, n_ranges: int) -> DataFrame:
@@ -269,7 +269,7 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
     texts = docs.filter(training).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long") + 1).alias("n"), F.count("*").alias("d")).first()
     n_ranges = max(1, -(-(size["n"] or 0) // RANGE_BYTES))
-    counted = cut(count_ngrams(texts, n_ranges))
+    counted = stored(count_ngrams(texts, n_ranges))
     told = counted.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     total, distinct = told["n"] or 0, told["v"] or 0
     levels = counted.select(F.posexplode("by_level").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
@@ -343,9 +343,9 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text") -> Da
         told = needed.mapInArrow(read, schema)
     else:
         held = numbered_pieces(needed, text)
-        answers = levels_of_pieces(held, text, counted, n_ranges)
+        answers = stored(levels_of_pieces(held, text, counted, n_ranges))  # so that the hashes asked for go first
         told = held.groupBy("__piece").cogroup(answers.groupBy("__piece")).applyInArrow(read_piece, schema)
-    first = cut(told.withColumn("__row", F.monotonically_increasing_id()))
+    first = stored(told.withColumn("__row", F.monotonically_increasing_id()))
     words = counted.select("hashes", "counts").mapInArrow(_unpacked, "hash long, n long")
     rare = first.select("__row", F.explode("__rare").alias("hash")).groupBy("hash", "__row").agg(F.count("*").alias("times"))
     found = (
