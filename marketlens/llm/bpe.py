@@ -26,11 +26,11 @@ from .frames import as_strings, pieces
 
 #: Bytes of memory, by estimate, that a worker's remembered pre-tokens take before it starts anew. Longer pre-tokens than
 #: LONG bytes are forgotten with the texts they came with.
-REMEMBERED = 64 << 20
+REMEMBERED = 32 << 20
 LONG = 128
 
 #: Bytes of text whose new pre-tokens are merged together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 
 OUTPUT = "n_tokens long, ids array<int>, decoded binary"
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -42,63 +42,88 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def pairs_of(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, set[int]]:
+    """Every pair of tokens that merges, as one number, ascending; its rank; and the ranks of which one pair can begin with
+    the symbol that ends another."""
+    missing = [b for b in range(256) if bytes([b]) not in ranks]
+    if missing:
+        raise ValueError(f"ranks lack the single bytes {missing[:5]}")
+    base = max(ranks.values()) + 2
+    get = ranks.get
+    pairs = sorted(
+        (a * base + b, rank, a, b)
+        for token, rank in ranks.items()
+        for i in range(1, len(token))
+        if (a := get(token[:i])) is not None and (b := get(token[i:])) is not None
+    )
+    firsts: dict[int, set[int]] = {}
+    seconds: dict[int, set[int]] = {}
+    for _, rank, a, b in pairs:
+        firsts.setdefault(rank, set()).add(a)
+        seconds.setdefault(rank, set()).add(b)
+    return (
+        np.array([x[0] for x in pairs] + [np.iinfo(np.int64).max], np.int64),
+        np.array([x[1] for x in pairs] + [-1], np.int64),
+        {rank for rank, a in firsts.items() if a & seconds[rank]},
+    )
+
+
 class Encoder:
-    """Encodes and decodes by ranks."""
+    """Encodes and decodes by ranks. `pairs` are those of `pairs_of`, if they are there already; without `written` ids are
+    not kept as text."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        missing = [b for b in range(256) if bytes([b]) not in ranks]
-        if missing:
-            raise ValueError(f"ranks lack the single bytes {missing[:5]}")
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pairs: tuple[np.ndarray, np.ndarray, set[int]] | None = None, written: bool = True):
+        self.pair, self.pair_rank, self.overlapping = pairs or pairs_of(ranks)
         self.ranks = ranks
         self.findall = regex.compile(pattern).findall
         self.token = {rank: token for token, rank in self.ranks.items()}
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.border = max(self.token) + 1
         self.base = self.border + 1
-        get = self.ranks.get
-        pairs = sorted(
-            (a * self.base + b, rank, a, b)
-            for token, rank in self.ranks.items()
-            for i in range(1, len(token))
-            if (a := get(token[:i])) is not None and (b := get(token[i:])) is not None
-        )
-        self.pair = np.array([x[0] for x in pairs] + [np.iinfo(np.int64).max], np.int64)
-        self.pair_rank = np.array([x[1] for x in pairs] + [-1], np.int64)
-        firsts: dict[int, set[int]] = {}
-        seconds: dict[int, set[int]] = {}
-        for _, rank, a, b in pairs:
-            firsts.setdefault(rank, set()).add(a)
-            seconds.setdefault(rank, set()).add(b)
-        #: Ranks of which one pair can begin with the symbol that ends another.
-        self.overlapping = {rank for rank, a in firsts.items() if a & seconds[rank]}
+        self.written = written
         self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
         self.held = 0
         self.passing: list[str] = []
 
     def encode(self, text: str) -> list[int]:
-        words = self.findall(text)
-        self.learn(words)
-        return [i for word in words for i in self.known[word][0]]
+        return [i for known in self.pre_tokens([text]) for ids, _, _ in known for i in ids]
 
     def pre_tokens(self, texts: list[str]) -> Iterator[list[tuple]]:
-        """For each text what is known of its pre-tokens: ids, ids as text, and the bytes that the ids decode to."""
-        found = [self.findall(text) for text in texts]
-        self.learn(chain.from_iterable(found))
-        for words in found:
-            yield list(map(self.known.__getitem__, words))
+        """For each text what is known of its pre-tokens: ids, ids as text, and the bytes that the ids decode to.
+
+        Until all new pre-tokens are known a text is held as what is remembered of it; only new ones are strings, one each.
+        """
+        self.forget()
+        found, new = [], {}
+        for text in texts:
+            words = self.findall(text)
+            fresh = set(words).difference(self.known)
+            if fresh:
+                for word in fresh:
+                    new.setdefault(word, word)
+                words = [self.known.get(w) or new[w] for w in words]
+            else:
+                words = list(map(self.known.__getitem__, words))
+            found.append((bool(fresh), words))
+        self.learn(new)
+        for has_new, words in found:
+            yield [self.known[x] if x.__class__ is str else x for x in words] if has_new else words
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Remember the ids of these pre-tokens, long ones until the next call."""
+    def forget(self) -> None:
+        """Forget long pre-tokens, and all of them if they take too much."""
         for word in self.passing:
             self.known.pop(word, None)
         self.passing = []
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
-        new = [w for w in set(words) if w not in self.known]
+
+    def learn(self, new: Iterable[str]) -> None:
+        """Remember the ids of these pre-tokens, all of them new; long ones until the next `forget`."""
+        new = list(new)
         if not new:
             return
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
@@ -114,7 +139,7 @@ class Encoder:
 
     def _remember(self, word: str, ids: tuple[int, ...]) -> None:
         back = self.decode(ids)
-        self.known[word] = (ids, " ".join(map(str, ids)), back)
+        self.known[word] = (ids, " ".join(map(str, ids)) if self.written else "", back)
         if len(back) > LONG:
             self.passing.append(word)
         else:
@@ -264,15 +289,15 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
     and decode to no bytes. Strings of special tokens are ordinary text. Repeated rows are encoded each. Texts are taken
     whole. Bytes that are not UTF-8 are read as U+FFFD. The ranks must hold every single byte.
     """
-    Encoder(ranks, pattern)  # refuses unfit ranks here, not in a task
-    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})  # as large as the vocabulary
+    # as large as the vocabulary; what takes much memory to make is made once, and unfit ranks are refused here, not in a task
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pairs": pairs_of(ranks)})
     schema = _with_columns(docs, DIGEST if digest else OUTPUT)
     added = [f.name for f in schema][-3:]
     kept = [f.name for f in schema][:-3]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if "encoder" not in shared.value:  # kept by the worker for its next tasks
-            shared.value["encoder"] = Encoder(shared.value["ranks"], pattern)
+            shared.value["encoder"] = Encoder(shared.value["ranks"], pattern, shared.value["pairs"], digest)
         bpe = shared.value["encoder"]
         for batch in batches:
             for part in pieces(batch, text, TOGETHER):
