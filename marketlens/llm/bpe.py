@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import as_strings, pieces
+from .frames import as_bytes, as_strings, pieces
 
-#: Bytes of memory, by estimate, that a worker's remembered pre-tokens take before it starts anew. Longer pre-tokens than
+#: Bytes of memory, by estimate, that a worker's remembered pre-tokens take before those of little use are forgotten. Longer pre-tokens than
 #: LONG bytes are forgotten with the texts they came with.
 REMEMBERED = 32 << 20
 LONG = 128
@@ -70,7 +71,11 @@ def pairs_of(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, set[int]]
 
 class Encoder:
     """Encodes and decodes by ranks. `pairs` are those of `pairs_of`, if they are there already; without `written` ids are
-    not kept as text."""
+    not given as text.
+
+    `known` numbers the pre-tokens that are remembered. The ids of all of them lie in one array, a pre-token's behind those
+    of the number before it, and how often each came up lies in another.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, pairs: tuple[np.ndarray, np.ndarray, set[int]] | None = None, written: bool = True):
         self.pair, self.pair_rank, self.overlapping = pairs or pairs_of(ranks)
@@ -81,74 +86,114 @@ class Encoder:
         self.border = max(self.token) + 1
         self.base = self.border + 1
         self.written = written
-        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
-        self.held = 0
-        self.passing: list[str] = []
+        self.tokens = pa.array([self.token.get(i, b"") for i in range(self.border)], pa.large_binary())
+        self.numbers = pa.array([b"%d " % i for i in range(self.border)], pa.large_binary()) if written else None
+        self._remember_only([], np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def encode(self, text: str) -> list[int]:
-        return [i for known in self.pre_tokens([text]) for ids, _, _ in known for i in ids]
-
-    def pre_tokens(self, texts: list[str]) -> Iterator[list[tuple]]:
-        """For each text what is known of its pre-tokens: ids, ids as text, and the bytes that the ids decode to.
-
-        Until all new pre-tokens are known a text is held as what is remembered of it; only new ones are strings, one each.
-        """
+        return self.ids_of([text])[0].tolist()
+
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin (one more offset than texts)."""
+        row, begin = self.rows_of(texts)
+        many = self.many[row]
+        stop = np.append(0, np.cumsum(many))
+        at = np.repeat(self.begin[row] - stop[:-1], many)
+        at += np.arange(len(at))
+        return self.ids[at], stop[begin]
+
+    def rows_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the texts' pre-tokens in a row, all known now, and where each text's begin."""
         self.forget()
-        found, new = [], {}
+        before, number = len(self.known), self.known.__getitem__  # which numbers a new pre-token
+        row = []
         for text in texts:
             words = self.findall(text)
-            fresh = set(words).difference(self.known)
-            if fresh:
-                for word in fresh:
-                    new.setdefault(word, word)
-                words = [self.known.get(w) or new[w] for w in words]
-            else:
-                words = list(map(self.known.__getitem__, words))
-            found.append((bool(fresh), words))
-        self.learn(new)
-        for has_new, words in found:
-            yield [self.known[x] if x.__class__ is str else x for x in words] if has_new else words
+            row.append(np.fromiter(map(number, words), np.int32, len(words)))
+        begin = np.cumsum([0, *map(len, row)])
+        row = np.concatenate([np.zeros(0, np.int32), *row])
+        self.learn(list(islice(self.known, before, None)))
+        self.uses += np.bincount(row, minlength=len(self.uses))
+        return row, begin
+
+    def pre_tokens(self, texts: list[str]) -> Iterator[list[tuple]]:
+        """For each text what is known of its pre-tokens: ids, ids as text, and the bytes that the ids decode to."""
+        row, begin = self.rows_of(texts)
+        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+            known = []
+            for k in row[a:b].tolist():
+                ids = tuple(self.ids[self.begin[k] : self.begin[k] + self.many[k]].tolist())
+                known.append((ids, " ".join(map(str, ids)) if self.written else "", self.decode(ids)))
+            yield known
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that the ids decode to, and where those of each id begin."""
+        return as_bytes(self.tokens.take(pa.array(ids)))
+
+    def as_text(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids as decimal numbers, a space after each, and where each begins."""
+        return as_bytes(self.numbers.take(pa.array(ids)))
+
     def forget(self) -> None:
-        """Forget long pre-tokens, and all of them if they take too much."""
-        for word in self.passing:
-            self.known.pop(word, None)
-        self.passing = []
+        """Forget long pre-tokens and, if all take too much, those that came up only once; of the others the most used
+        stay, half of what may be held."""
+        if not self.passing and self.held <= REMEMBERED:
+            return
+        words = list(self.known)
+        cost = self._cost(np.fromiter(map(len, words), np.int64, len(words)), self.many)
+        keep = np.ones(len(words), bool)
+        keep[self.passing] = False
         if self.held > REMEMBERED:
-            self.known.clear()
-            self.held = 0
+            keep &= self.uses > 1
+            often = np.flatnonzero(keep)
+            often = often[np.argsort(-self.uses[often], kind="stable")]
+            keep[often[np.cumsum(cost[often]) > REMEMBERED // 2]] = False
+        at = np.flatnonzero(keep).tolist()
+        uses = self.uses[keep]
+        self._remember_only([words[i] for i in at], self.ids[np.repeat(keep, self.many)], self.many[keep], uses - uses // 2)
+        self.held = int(cost[keep].sum())
+
+    def _remember_only(self, words: list[str], ids: np.ndarray, many: np.ndarray, uses: np.ndarray) -> None:
+        self.known: dict[str, int] = defaultdict(count(len(words)).__next__, zip(words, range(len(words)), strict=True))
+        self.ids, self.many, self.uses = ids, many, uses
+        self.begin = np.cumsum(many) - many
+        self.held = 0
+        self.passing: list[int] = []
+
+    @staticmethod
+    def _cost(chars: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Bytes that a pre-token takes, about: a string, a number, their place in the dictionary and in the arrays."""
+        return 280 + 2 * chars + 4 * many
 
-    def learn(self, new: Iterable[str]) -> None:
-        """Remember the ids of these pre-tokens, all of them new; long ones until the next `forget`."""
-        new = list(new)
+    def learn(self, new: list[str]) -> None:
+        """Remember the ids of these pre-tokens, the last that were numbered; those of long ones until the next `forget`."""
         if not new:
             return
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        hard = []
-        for word, piece in zip(new, raw, strict=True):
-            rank = self.ranks.get(piece)  # a pre-token that is a token needs no merges
-            if rank is None:
-                hard.append((word, piece))
-            else:
-                self._remember(word, (rank,))
-        for (word, _), ids in zip(hard, self.merge([piece for _, piece in hard]), strict=True):
-            self._remember(word, ids)
-
-    def _remember(self, word: str, ids: tuple[int, ...]) -> None:
-        back = self.decode(ids)
-        self.known[word] = (ids, " ".join(map(str, ids)) if self.written else "", back)
-        if len(back) > LONG:
-            self.passing.append(word)
-        else:
-            self.held += 320 + 3 * len(back) + 48 * len(ids)  # objects and their places in tuples and the dictionary
-
-    def merge(self, raw: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each byte string, merged by lowest rank first and leftmost first among equals."""
+        whole = list(map(self.ranks.get, raw))  # a pre-token that is a token needs no merges
+        hard = np.array([rank is None for rank in whole])
+        many = np.ones(len(new), np.int64)
+        merged, many[hard] = self.merge([piece for piece, rank in zip(raw, whole, strict=True) if rank is None])
+        ids = np.empty(int(many.sum()), np.int32)
+        of_hard = np.repeat(hard, many)
+        ids[of_hard] = merged
+        ids[~of_hard] = [rank for rank in whole if rank is not None]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.passing = (len(self.many) + np.flatnonzero(size > LONG)).tolist()
+        short = size <= LONG
+        self.held += int(self._cost(np.fromiter(map(len, new), np.int64, len(new)), many)[short].sum())
+        self.ids, self.many = np.concatenate([self.ids, ids]), np.concatenate([self.many, many])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.begin = np.cumsum(self.many) - self.many
+
+    def merge(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all byte strings in a row and how many each has, merged by lowest rank first and leftmost first among
+        equals."""
         if not raw:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         sizes = np.array([len(x) for x in raw], np.int64)
         ends = np.cumsum(sizes + 1) - 1  # a border stands after each pre-token
         n = int(ends[-1]) + 1
@@ -213,12 +258,15 @@ class Encoder:
             if len(ranks) and ranks.min() < rank:  # rare: that pair may have had to come before others of this rank
                 again.update(np.searchsorted(ends, fresh[ranks < rank]).tolist())
 
-        ids = symbol[alive].tolist()
-        stops = np.flatnonzero(symbol[alive] == self.border).tolist()
-        out = [tuple(ids[a:b]) for a, b in zip([0, *(x + 1 for x in stops[:-1])], stops, strict=True)]
-        for i in again:
-            out[i] = self.merge_singly(raw[i])
-        return out
+        left_over = symbol[alive]
+        stops = np.flatnonzero(left_over == self.border)
+        ids, many = left_over[left_over != self.border], np.diff(stops, prepend=-1) - 1
+        if again:
+            parts = np.split(ids, np.cumsum(many)[:-1])
+            for i in again:
+                parts[i] = np.array(self.merge_singly(raw[i]), np.int64)
+            ids, many = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, many
 
     def merge_singly(self, piece: bytes) -> tuple[int, ...]:
         """The same queue, one merge at a time: for pre-tokens in which a merge makes a pair of a lower rank."""
@@ -301,18 +349,19 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
         bpe = shared.value["encoder"]
         for batch in batches:
             for part in pieces(batch, text, TOGETHER):
-                counts, ids_out, bytes_out = [], [], []
-                for known in bpe.pre_tokens(as_strings(part.column(text))):
-                    ids, written, back = zip(*known, strict=True) if known else ((), (), ())
-                    counts.append(sum(map(len, ids)))
-                    if digest:
-                        ids_out.append(hashlib.sha256(" ".join(written).encode()).hexdigest())
-                        bytes_out.append(hashlib.sha256(b"".join(back)).hexdigest())
-                    else:
-                        ids_out.append(list(chain.from_iterable(ids)))
-                        bytes_out.append(b"".join(back))
-                kinds = (pa.int64(), pa.string() if digest else pa.list_(pa.int32()), pa.string() if digest else pa.binary())
-                new = [pa.array(v, k) for v, k in zip((counts, ids_out, bytes_out), kinds, strict=True)]
+                ids, begin = bpe.ids_of(as_strings(part.column(text)))
+                data, at = bpe.decoded(ids)
+                at = at[begin]
+                if digest:
+                    numbers, place = bpe.as_text(ids)
+                    place = place[begin].tolist()
+                    written = [numbers[a : max(a, b - 1)] for a, b in zip(place[:-1], place[1:], strict=True)]
+                    back = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                    new = [pa.array([hashlib.sha256(x).hexdigest() for x in of], pa.string()) for of in (written, back)]
+                else:
+                    back = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+                    new = [pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids)), back]
+                new = [pa.array(np.diff(begin), pa.int64()), *new]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + new, names=kept + added)
 
     return docs.mapInArrow(rows, schema)
