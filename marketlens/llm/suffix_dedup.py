@@ -33,7 +33,9 @@ from .words import _powers
 
 LENGTH, DIGIT = 200, 50
 #: Runs that a task sorts together, about; an anchor with more runs than MANY_RUNS is sorted window by window in the open.
-GROUP_RUNS, MANY_RUNS = 8_192, 8_192
+GROUP_RUNS, MANY_RUNS = 2_048, 8_192
+#: Text that a task looks at together; it takes about 115 times as much memory meanwhile.
+PIECE_BYTES = 1 << 18
 
 _VALUE = mixed(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _PLACE_BITS = np.uint64(32)
@@ -88,6 +90,24 @@ def runs(data: np.ndarray, begin: np.ndarray, length: int, digit: int) -> tuple[
     return first, last, at, grams[at], whole
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], length: int, digit: int) -> Iterator[tuple]:
+    """Of each piece of the batches: its rows, each run's text (row of the piece), first and last window and anchor within it
+    and its hashes, the texts' bytes, and where in them each run's text begins."""
+    for batch in batches:
+        for part in pieces(batch, "text", PIECE_BYTES):
+            data, begin = as_bytes(part.column("text"))
+            first, last, at, gram, whole = runs(data, begin, length, digit)
+            owner = np.searchsorted(begin, first, "right") - 1
+            base = begin[owner]
+            yield part, owner, first - base, last - base, at - base, gram, whole, data, base
+
+
+def without_copies(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of a batch with the first of each key."""
+    first = np.unique(batch.column("key").to_numpy(), return_index=True)[1]
+    return batch if len(first) == batch.num_rows else batch.take(pa.array(np.sort(first)))
+
+
 def place_hash(key: np.ndarray, start: np.ndarray) -> np.ndarray:
     """A run's name: its text and where it begins in it."""
     with np.errstate(over="ignore"):
@@ -116,20 +136,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
     """
     session = texts.sparkSession.sparkContext
 
-    def found(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """Each run's text (row of the part), first and last window and anchor within it, and its hashes; the text's bytes."""
-        data, begin = as_bytes(part.column("text"))
-        first, last, at, gram, whole = runs(data, begin, length, digit)
-        owner = np.searchsorted(begin, first, "right") - 1
-        base = begin[owner]
-        return owner, first - base, last - base, at - base, gram, whole, data, base
-
     # pass 1; of most anchors there is one, and nothing of them goes on
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                _, _, _, _, gram, whole, _, _ = found(part)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram, whole)], names=["gram", "run"])
+        for _, _, _, _, _, gram, whole, _, _ in runs_of(batches, length, digit):
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram, whole)], names=["gram", "run"])
 
     first = texts.mapInArrow(anchors, "gram long, run long").groupBy("gram")
     first = first.agg(F.count("*").alias("n"), F.min("run").alias("run"), F.max("run").alias("other")).filter("n > 1")
@@ -139,12 +149,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
     # pass 2: of the anchors with several runs; the run of the least name stands for all equal ones
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(mixed_anchors.value, np.uint8)
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                owner, start, _, _, gram, whole, _, _ = found(part)
-                on = hits(bits, gram)
-                name = place_hash(part.column("key").to_numpy()[owner[on]], start[on])
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram[on], whole[on], name)], names=["gram", "run", "name"])
+        for part, owner, start, _, _, gram, whole, _, _ in runs_of(batches, length, digit):
+            on = hits(bits, gram)
+            name = place_hash(part.column("key").to_numpy()[owner[on]], start[on])
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram[on], whole[on], name)], names=["gram", "run", "name"])
 
     second = texts.mapInArrow(named, "gram long, run long, name long")
     second = cut(second.groupBy("gram", "run").agg(F.count("*").alias("n"), F.min("name").alias("name")))
@@ -169,23 +177,21 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
         """Runs that occur again, without bytes, and runs whose windows are to be compared, with theirs; of copies of a
         text that lie together each run once. Those to be compared have a group; in group -1 they are laid open."""
         repeated, open_runs, crowded = (np.frombuffer(x, np.uint8) for x in shared.value)
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                owner, start, last, at, gram, whole, data, base = found(part)
-                key, size = part.column("key").to_numpy()[owner], part.column("size").to_numpy()[owner]
-                name = place_hash(key, start)
-                once = np.zeros(len(name), bool)
-                once[np.unique(name, return_index=True)[1]] = True
-                group = (mixed(gram) % np.uint64(n_groups)).astype(np.int64)
-                group[hits(crowded, gram)] = -1
-                full = np.flatnonzero(once & hits(repeated, both(gram, whole)))
-                compare = np.flatnonzero(once & hits(open_runs, name))
-                body = [data[a : b + length].tobytes() for a, b in zip((base + start)[compare].tolist(), (base + last)[compare].tolist(), strict=True)]
-                for chosen, texts_of in ((full, [None] * len(full)), (compare, body)):
-                    columns = [group, key, size, start, last, at, gram.view(np.int64), whole.view(np.int64)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[chosen], pa.int64()) for c in columns] + [pa.array(texts_of, pa.binary())], names=names
-                    )
+        for part, owner, start, last, at, gram, whole, data, base in runs_of(map(without_copies, batches), length, digit):
+            key, size = part.column("key").to_numpy()[owner], part.column("size").to_numpy()[owner]
+            name = place_hash(key, start)
+            once = np.zeros(len(name), bool)
+            once[np.unique(name, return_index=True)[1]] = True
+            group = (mixed(gram) % np.uint64(n_groups)).astype(np.int64)
+            group[hits(crowded, gram)] = -1
+            full = np.flatnonzero(once & hits(repeated, both(gram, whole)))
+            compare = np.flatnonzero(once & hits(open_runs, name))
+            body = [data[a : b + length].tobytes() for a, b in zip((base + start)[compare].tolist(), (base + last)[compare].tolist(), strict=True)]
+            for chosen, texts_of in ((full, [None] * len(full)), (compare, body)):
+                columns = [group, key, size, start, last, at, gram.view(np.int64), whole.view(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[chosen], pa.int64()) for c in columns] + [pa.array(texts_of, pa.binary())], names=names
+                )
 
     names = ["group", "key", "size", "first", "last", "at", "gram", "run", "bytes"]
     picked = texts.mapInArrow(pick, ", ".join(f"{c} long" for c in names[:-1]) + ", bytes binary")
@@ -230,7 +236,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, digit: int = DIGIT) -
 
     def lay_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "bytes"):
+            for part in pieces(batch, "bytes", PIECE_BYTES):
                 row, place, name = windows(part)
                 key, size = part.column("key").to_numpy()[row], part.column("size").to_numpy()[row]
                 gram = part.column("gram").to_numpy()[row]

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +275,20 @@ def test_pairs_are_kept_as_bits_of_the_filter_only(spark):
     for hashes in (tokens, pairs):
         found, times = lm_score.np.unique(hashes, return_counts=True)
         assert (held.levels(found) >= lm_score.levels_of(times)).all()
+
+
+def test_memory_of_runs_is_that_of_a_piece():
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(2_000)) for _ in range(1_000)]
+    batch = pa.RecordBatch.from_pydict({"key": pa.array(range(1_000)), "text": pa.array(texts)})
+    tracemalloc.start()
+    n = sum(len(found[1]) for found in suffix_dedup.runs_of(iter([batch]), 200, 50))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n == sum(len(suffix_dedup.runs(np.frombuffer(t.encode(), np.uint8), np.array([0, 2_000]), 200, 50)[0]) for t in texts)
+    assert peak < 60 << 20
+
+
+def test_copies_in_a_batch_are_looked_at_once():
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([3, 1, 3, 2, 1]), "text": pa.array(["c", "a", "c", "b", "a"])})
+    assert suffix_dedup.without_copies(batch).to_pydict() == {"key": [3, 1, 2], "text": ["c", "a", "b"]}
