@@ -52,13 +52,19 @@ def state_of(panel: DataFrame, params: RiskParams = DEFAULTS) -> DataFrame:
     most = held_rows(params)
     if "has_market" not in panel.columns:  # the market's own rows are on its dates, but take no part in beta
         panel = panel.withColumn("has_market", F.col("has_beta_row") | (F.col("ticker") == params.market))
-    newest = lambda *kind: F.row_number().over(Window.partitionBy("ticker", *kind).orderBy(F.desc("date")))
+    newest = Window.partitionBy("ticker").orderBy(F.desc("date"))
+    so_far = newest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def nth_of_kind(flag: str) -> Column:  # counted in the one order of dates, so that rows are sorted once
+        with_it = F.count(F.when(F.col(flag), 1)).over(so_far)
+        return F.when(F.col(flag), with_it).otherwise(F.row_number().over(newest) - with_it)
+
     before = {c: F.col(c) if c in panel.columns else F.lit(True) for c in ("whole_returns", "whole_betas")}
     counted = panel.withColumns(
         {
-            "nth": newest(),
-            "nth_return": newest("has_return"),
-            "nth_beta": newest("has_beta_row"),
+            "nth": F.row_number().over(newest),
+            "nth_return": nth_of_kind("has_return"),
+            "nth_beta": nth_of_kind("has_beta_row"),
             "returns": F.count(F.when(F.col("has_return"), 1)).over(_ticker()),
             "betas": F.count(F.when(F.col("has_beta_row"), 1)).over(_ticker()),
             "rows": F.count("*").over(_ticker()),

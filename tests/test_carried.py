@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,22 @@ def test_days_add_up_to_a_rebuild(spark, quick, seed, days, together):
     assert len(want) > 100 and deep_seen < steps  # a step of many days has a bar from far back more often than a day has
     per_ticker = max(sum(r["ticker"] == t for r in state) for t in {r["ticker"] for r in state})
     assert per_ticker <= 3 * carried.held_rows(SMALL)
+
+
+def test_a_panel_is_sorted_once_for_its_state(spark):
+    rows = [("T", DAY0 + dt.timedelta(days=i), i % 3 > 0, i % 4 > 0) for i in range(400)]
+    panel = spark.createDataFrame(rows, "ticker string, date date, has_return boolean, has_beta_row boolean")
+    for f in schemas.RISK_STATE:
+        if f.name not in panel.columns:
+            panel = panel.withColumn(f.name, F.lit(None).cast(f.dataType))
+    panel = panel.drop("whole_returns", "whole_betas")
+    state = carried.state_of(panel)
+    most = carried.held_rows()
+    newest = rows[::-1]
+    want = set()
+    for kind in (2, 3):
+        for yes in (True, False):
+            want |= {r[1] for r in [r for r in newest if r[kind] is yes][:most]}
+    assert {r["date"] for r in state.collect()} == want
+    plan = state._jdf.queryExecution().sparkPlan().toString() + state._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bSort \[", plan)) == 1
