@@ -228,3 +228,30 @@ def test_only_rows_that_are_chosen_are_simulated(clean):
     assert sorted(map(tuple, chosen.collect())) == want
     together = sorted(map(tuple, value_at_risk.with_simulation(both).collect()))
     assert together == sorted(t for w in whole for t in map(tuple, w.collect()))
+
+
+def test_blocks_of_tickers_follow_from_their_returns():
+    """Tickers with few returns need fewer blocks, so fewer copies are shuffled; a block's returns stay within the bound."""
+    from marketlens.operators import correlation as c
+
+    dense, sparse = c.blocks_holding(180_000, 180_000 * 2_560), c.blocks_holding(180_000, 180_000 * 560)
+    assert dense == c.blocks_for(180_000) == 44 and sparse == 11
+    for tickers, returns in ((180_000, 10**8), (5_000, 10**9), (40_000, 10**7), (10**6, 10**6)):
+        blocks = c.blocks_holding(tickers, returns)
+        assert returns / blocks <= c.RETURNS_PER_GROUP and tickers / blocks <= c.MOST_TICKERS_PER_GROUP
+    assert c.blocks_holding(1, 0) == 1
+
+
+def test_a_frame_of_returns_is_dealt_by_its_rows(clean, monkeypatch):
+    from marketlens.operators import correlation as c
+
+    returns = series.daily_returns(clean)
+    names = sorted(r["ticker"] for r in returns.select("ticker").distinct().collect())
+    asked = []
+    monkeypatch.setattr(c, "correlated_pairs", lambda *given, real=c.correlated_pairs: asked.append(given[2]) or real(*given))
+    want = c.correlation_matrix(returns, names, 256).orderBy("ticker_x", "ticker_y").collect()
+    monkeypatch.setattr(c, "RETURNS_PER_GROUP", -(-returns.count() // 3))
+    got = c.correlation_matrix(returns, names).orderBy("ticker_x", "ticker_y").collect()
+    assert asked[-1] == 3
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == [None if r[3] is None else pytest.approx(r[3], abs=1e-9) for r in want]
